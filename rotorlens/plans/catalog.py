@@ -11,14 +11,31 @@ from rotorlens.functions import labels as L
 from rotorlens.functions import numeric as N
 from rotorlens.functions import spectral as X
 from rotorlens.operators import alerts as A
+from rotorlens.operators import classify as CL
+from rotorlens.operators import clustering as C
+from rotorlens.operators import compare as CMP
 from rotorlens.operators import filters as FL
+from rotorlens.operators import group_iforest as G
 from rotorlens.operators import joins as J
+from rotorlens.operators import lof as LOF
+from rotorlens.operators import metrics as MT
 from rotorlens.operators import report as R
 from rotorlens.operators import sampling as S
+from rotorlens.operators import scaling as SC
 from rotorlens.plans import fixtures as fx
-from rotorlens.schema import SPECTRAL_FEATURES
+from rotorlens.plans import models as M
+from rotorlens.schema import (
+    FAULT_LABELS,
+    LABEL_TRANSLATION,
+    MODEL_INPUTS,
+    SPECTRAL_FEATURES,
+    UNKNOWN_ALERT_LABEL,
+    fault_dimension,
+)
+from rotorlens.session import materialise, scratch_path
 from rotorlens.sources import spectra as SRC
 from rotorlens.sources import tables as TB
+from rotorlens.streaming import streams as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -185,7 +202,6 @@ def alerts_left_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Code to label through the dimension table, with a default for codes it does not know."""
-    from rotorlens.schema import UNKNOWN_ALERT_LABEL, fault_dimension
     codes = fx.predictions(spark, sf).select(
         "record_id", F.when(F.col("event_id") % 17 == 0, 9).otherwise(F.col("fault_type")).alias("fault_type"))
     return J.with_dimension(codes, fault_dimension(spark), "fault_type", UNKNOWN_ALERT_LABEL)
@@ -214,7 +230,6 @@ def _alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alerts_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    from rotorlens.schema import FAULT_LABELS, LABEL_TRANSLATION
     shown = [LABEL_TRANSLATION[FAULT_LABELS[c]] for c in (0, 2)]
     kept = FL.alert_filter(_alerts(spark, sf), ["HIGH", "MEDIUM"], shown)
     return kept.select("record_id", "fault_label", "severity_level")
@@ -340,6 +355,209 @@ def confirmed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return A.combined_flag(A.extreme_scores(persistent, quantile=0.05)).select("record_id", "confirmed")
 
 
+# --- Scaling, models and metrics ---
+
+# Boosting rounds and folds of the registered training runs; the library's defaults are 100 rounds and 5 folds.
+ROUNDS = 10
+
+
+_TRAINED: dict[tuple[str, str], M.Training] = {}
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature table, written once per session and table set."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        _STORED[key] = materialise(fx.features(spark, sf), "features")
+    return _STORED[key]
+
+
+def _trained(spark: SparkSession, sf: str) -> M.Training:
+    """One training run per session and table set, shared by the queries that look at its results."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = M.train(_stored_features(spark, sf), n_estimators=ROUNDS)
+    return _TRAINED[key]
+
+
+def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
+    features = _stored_features(spark, sf)
+    out = SC.standard_scale_fit(features, MODEL_INPUTS).transform(features)
+    return rounded(out.select("record_id", *MODEL_INPUTS), *MODEL_INPUTS)
+
+
+def robust_scale(spark: SparkSession, sf: str) -> DataFrame:
+    features = _stored_features(spark, sf)
+    out = SC.robust_scale_fit(features, SPECTRAL_FEATURES).transform(features)
+    return rounded(out.select("record_id", *SPECTRAL_FEATURES), *SPECTRAL_FEATURES)
+
+
+def _scaled(spark: SparkSession, sf: str) -> DataFrame:
+    models = _trained(spark, sf).models
+    return models.scaler.vector(_stored_features(spark, sf)).select("record_id", "x")
+
+
+def iforest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).models.forest.score(_scaled(spark, sf)).select("record_id", "anomaly_score")
+
+
+def iforest_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagged share follows from the contamination alone."""
+    flagged = _trained(spark, sf).models.forest.predict(_scaled(spark, sf))
+    return rounded(R.anomaly_rate(flagged), "pct_anomalies")
+
+
+def group_iforest(spark: SparkSession, sf: str) -> DataFrame:
+    features = _stored_features(spark, sf)
+    models = materialise(G.group_forest_fit(features, SPECTRAL_FEATURES), "group-models")
+    return G.group_forest_predict(features, models, SPECTRAL_FEATURES).select(
+        "record_id", *FL.SERIES, "anomaly_score", "is_anomaly")
+
+
+def kmeans_best_of_10(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).labelled.select("record_id", "label")
+
+
+def nearest_centre(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding's nearest of four centres (the embeddings 0 to 3)."""
+    points = fx._table(spark, sf, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    centres = [r["x"] for r in points.filter("vec_id < 4").orderBy("vec_id").collect()]
+    return C.nearest_centre(points, centres).select("vec_id", "cluster")
+
+
+def cluster_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(R.distribution(fx.labelled(spark, sf), "label"), "pct")
+
+
+def silhouette_euclid(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouette of the labelled embeddings on a sample of at most 5,000, which is what the operator computes."""
+    points = fx._table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("record_id"), F.transform("embedding", lambda v: v.cast("double")).alias("x"),
+        F.col("label").alias("cluster"))
+    return rounded(C.silhouette(points), "silhouette")
+
+
+def lof_scores(spark: SparkSession, sf: str) -> DataFrame:
+    points = fx._table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("record_id"), F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    return rounded(LOF.local_outlier_factor(points), "lof")
+
+
+def detector_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    models = _trained(spark, sf).models
+    return CMP.detector_comparison(materialise(_scaled(spark, sf), "scaled"), models.forest, models.kmeans)
+
+
+def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.stratified_folds(fx.labelled(spark, sf).select("record_id", "label"))
+
+
+def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return MT.confusion_matrix(fx.labelled(spark, sf), range(4))
+
+
+def accuracy_f1_macro(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(MT.accuracy_f1_macro(fx.labelled(spark, sf)), "accuracy", "f1_macro")
+
+
+def classification_report(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(MT.classification_report(fx.labelled(spark, sf)), "precision", "recall", "f1")
+
+
+def fault_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).tables["train_predictions"]
+
+
+def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).tables["cv_summary"]
+
+
+def feature_importance_top(spark: SparkSession, sf: str) -> DataFrame:
+    classifier = _trained(spark, sf).models.classifier
+    return R.top_by(classifier.importance_table(spark), "importance", 10)
+
+
+def supervised_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Training on confirmed labels, joined by record id, instead of cluster numbers."""
+    training = _trained(spark, sf)
+    confirmed = fx.labelled(spark, sf).select("record_id", "label")
+    points = training.labelled.select("record_id", "x")
+    model = CL.supervised_fit(points, confirmed, training.models.columns, n_estimators=ROUNDS)
+    return model.predict(points).select("record_id", "prediction", "confidence")
+
+
+def predict_batch(spark: SparkSession, sf: str) -> DataFrame:
+    out = M.predict_batch(_stored_features(spark, sf), _trained(spark, sf).models, keep=["record_id"])
+    return out.withColumn("probabilities", F.to_json("probabilities"))
+
+
+def prediction_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What has to hold for every prediction: clean normal records, probabilities that sum to 1."""
+    out = M.predict_batch(_stored_features(spark, sf), _trained(spark, sf).models, keep=["record_id"])
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda acc, p: acc + p)
+    clean = (F.col("fault_type") == -1) & (F.col("confidence") == 0) & (F.size("probabilities") == 0)
+    sound = F.col("fault_type").between(0, 3) & (F.abs(total - 1) < 1e-9) & (F.col("confidence") >= 0.25)
+    return out.agg(
+        F.count("*").alias("total"), F.count_if("is_anomaly").alias("anomalies"),
+        F.count_if(~F.col("is_anomaly") & clean).alias("clean_normals"),
+        F.count_if(F.col("is_anomaly") & sound).alias("sound_anomalies"))
+
+
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of the stored and re-read models equal those of the models in memory."""
+    features, models = _stored_features(spark, sf), _trained(spark, sf).models
+    path = scratch_path(spark, "models")
+    M.save_models(models, path, spark)
+    columns = ["record_id", "anomaly_score", "is_anomaly", "fault_type", "confidence"]
+    before = M.predict_batch(features, models, keep=["record_id"]).select(*columns)
+    after = M.predict_batch(features, M.load_models(spark, path), keep=["record_id"]).select(
+        "record_id", *[F.col(c).alias(f"again_{c}") for c in columns[1:]])
+    same = F.lit(True)
+    for c in columns[1:]:
+        same = same & F.col(c).eqNullSafe(F.col(f"again_{c}"))
+    return before.join(after, "record_id").agg(F.count("*").alias("total"), F.count_if(same).alias("equal"))
+
+
+# --- Streams: each runs over all files available and returns the table it wrote ---
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = fx._table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    return fx.spectra_from(events, fx._table(spark, sf, "embeddings"))
+
+
+def _scored_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.pseudo_predictions(_event_stream(spark, sf).select("event_id", "dev_eui", "mode", "axis", "ts_ms"))
+
+
+def stream_features(spark: SparkSession, sf: str) -> DataFrame:
+    table = ST.run_available(ST.stream_features(fx.lines_from(_event_stream(spark, sf))))
+    return rounded(table.drop("record_id"), *SPECTRAL_FEATURES)
+
+
+def stream_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Scoring on the stream agrees with scoring the same records in batch."""
+    features, models = _stored_features(spark, sf), _trained(spark, sf).models
+    live = X.extract_features(_event_stream(spark, sf))
+    table = ST.run_available(ST.stream_predictions(live, models).select("record_id", "is_anomaly", "fault_type"))
+    batch = M.predict_batch(features, models, keep=["record_id"]).select(
+        "record_id", F.col("is_anomaly").alias("batch_anomaly"), F.col("fault_type").alias("batch_fault"))
+    same = (F.col("is_anomaly") == F.col("batch_anomaly")) & (F.col("fault_type") == F.col("batch_fault"))
+    return table.join(batch, "record_id").agg(F.count("*").alias("total"), F.count_if(same).alias("equal"))
+
+
+def stream_persistence(spark: SparkSession, sf: str) -> DataFrame:
+    table = ST.run_available(ST.persistent_windows(_scored_stream(spark, sf)))
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    table = ST.run_available(ST.alerts_per_period(_scored_stream(spark, sf)))
+    return table.withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         raw_features_by_device, ingest_valid, ingest_discards, ingest_pairwise, ingest_lenient,
@@ -352,5 +570,11 @@ QUERIES: dict[str, Query] = {
         mean_confidence, latest_alerts, clearest_examples, sorted_labels, contamination,
         alerts_per_period, indicator_evolution,
         persistence_rows, persistence_range, extreme_scores, confirmed_anomalies,
+        standard_scale, robust_scale, iforest_scores, iforest_predict, group_iforest,
+        kmeans_best_of_10, nearest_centre, cluster_distribution, silhouette_euclid, lof_scores, detector_comparison,
+        stratified_folds, confusion_matrix, accuracy_f1_macro, classification_report,
+        fault_classifier, cv_summary, feature_importance_top, supervised_labels,
+        predict_batch, prediction_checks, model_roundtrip,
+        stream_features, stream_predictions, stream_persistence, stream_alerts,
     )
 }

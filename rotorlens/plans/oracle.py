@@ -264,3 +264,100 @@ ORACLE: dict[str, str] = {
           FROM scored GROUP BY ALL)
         SELECT record_id, {PERSISTENT} OR anomaly_score < q AS confirmed FROM scored JOIN q USING (dev_eui, mode, axis)""",
 }
+
+# --- Models ---
+
+COUNTED = """counted AS (SELECT count(*) AS n, least(0.2::DOUBLE, greatest(0.1::DOUBLE, count(*) / 10000.0::DOUBLE)) AS c FROM events),
+  flagged AS (SELECT n AS total, CAST(floor(c * (n - 1)) AS BIGINT) + 1 AS anomalies FROM counted)"""
+LABELLED = f"""{SPECTRA}, labelled AS (SELECT record_id, true_label AS label,
+  CAST(CASE WHEN event_id % 10 < 8 THEN true_label ELSE (true_label + 1) % 4 END AS INTEGER) AS prediction FROM spectra)"""
+CLASS_SCORES = f"""{LABELLED}, classes AS (SELECT label AS class FROM labelled UNION SELECT prediction FROM labelled),
+  sums AS (SELECT c.class, count(*) FILTER (l.label = c.class AND l.prediction = c.class) AS hits,
+    count(*) FILTER (l.label = c.class) AS support, count(*) FILTER (l.prediction = c.class) AS predicted
+    FROM classes c, labelled l GROUP BY c.class),
+  rated AS (SELECT *, CASE WHEN predicted > 0 THEN hits / predicted::DOUBLE ELSE 0 END AS precision,
+    CASE WHEN support > 0 THEN hits / support::DOUBLE ELSE 0 END AS recall FROM sums),
+  scores AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1
+    FROM rated)"""
+MODEL_INPUTS_SQL = [*SPECTRAL_FEATURES, "mode", "axis"]
+POINTS = """points AS (SELECT vec_id, CAST(vec_id AS VARCHAR) AS record_id, label,
+  list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings)"""
+DISTANCE = "sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
+
+
+def _scale(columns: list[str], centre: str, scale: str) -> str:
+    parts = []
+    for c in columns:
+        s = scale.format(c=c)
+        parts.append(f"round(({c} - {centre.format(c=c)}) / CASE WHEN {s} = 0 THEN 1 ELSE {s} END, 6) + 0.0::DOUBLE AS {c}")
+    return ", ".join(parts)
+
+
+ORACLE.update({
+    "standard_scale": f"""{FEATURES}, m AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in MODEL_INPUTS_SQL)}
+          FROM features)
+        SELECT record_id, {_scale(MODEL_INPUTS_SQL, 'm_{c}', 's_{c}')} FROM features, m""",
+    "robust_scale": f"""{FEATURES}, m AS (SELECT {', '.join(
+        f'quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}' for c in SPECTRAL_FEATURES)}
+          FROM features)
+        SELECT record_id, {_scale(SPECTRAL_FEATURES, 'm_{c}', 's_{c}')} FROM features, m""",
+    "iforest_predict": f"""WITH {COUNTED} SELECT total, anomalies, total - anomalies AS normals,
+          round(100.0::DOUBLE * anomalies / total, 6) AS pct_anomalies FROM flagged""",
+    "prediction_checks": f"""WITH {COUNTED} SELECT total, anomalies, total - anomalies AS clean_normals,
+          anomalies AS sound_anomalies FROM flagged""",
+    "model_roundtrip": "SELECT count(*) AS total, count(*) AS equal FROM events",
+    "stream_predictions": "SELECT count(*) AS total, count(*) AS equal FROM events",
+    "nearest_centre": f"""WITH {POINTS} SELECT a.vec_id, CAST(arg_min(b.vec_id, {DISTANCE}) AS INTEGER) AS cluster
+        FROM points a, points b WHERE b.vec_id < 4 GROUP BY a.vec_id""",
+    "cluster_distribution": f"""WITH {LABELLED} SELECT label, count(*) AS n,
+          round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM labelled), 6) AS pct FROM labelled GROUP BY label""",
+    "silhouette_euclid": f"""WITH {POINTS}, sample AS (SELECT * FROM points ORDER BY {TIE}, record_id LIMIT 5000),
+        sizes AS (SELECT label, count(*) AS n FROM sample GROUP BY label),
+        sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum({DISTANCE}) AS s FROM sample a, sample b GROUP BY ALL),
+        means AS (SELECT vec_id, own, max(s / greatest(n - 1, 1)) FILTER (own = other) AS inner_mean,
+          min(s / n) FILTER (own <> other) AS outer_mean, max(n) FILTER (own = other) AS own_size
+          FROM sums JOIN sizes ON sizes.label = sums.other GROUP BY vec_id, own),
+        total AS (SELECT avg(CASE WHEN own_size = 1 THEN 0 ELSE (outer_mean - inner_mean) / greatest(inner_mean, outer_mean) END) AS s,
+          count(*) AS n FROM means)
+        SELECT round(s, 6) AS silhouette, n AS rows,
+          CASE WHEN s >= 0.5 THEN 'good' WHEN s >= 0.3 THEN 'moderate' ELSE 'low' END AS verdict FROM total""",
+    "lof_scores": f"""WITH {POINTS}, pairs AS (SELECT a.record_id, b.record_id AS other, {DISTANCE} AS d
+          FROM points a, points b WHERE a.record_id <> b.record_id),
+        near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY d, other) <= 20),
+        k AS (SELECT record_id, max(d) AS kd FROM near GROUP BY record_id),
+        lrd AS (SELECT n.record_id, 1 / (avg(greatest(k.kd, n.d)) + 1e-10::DOUBLE) AS lrd
+          FROM near n JOIN k ON k.record_id = n.other GROUP BY n.record_id)
+        SELECT n.record_id, round(avg(o.lrd) / max(own.lrd), 6) AS lof FROM near n JOIN lrd o ON o.record_id = n.other
+          JOIN lrd own ON own.record_id = n.record_id GROUP BY n.record_id""",
+    "stratified_folds": f"""WITH {LABELLED} SELECT record_id, label, CAST((row_number() OVER (PARTITION BY label
+          ORDER BY {TIE}, record_id) - 1) % 5 AS INTEGER) AS fold FROM labelled""",
+    "confusion_matrix": f"""WITH {LABELLED} SELECT label, {', '.join(
+        f'count(*) FILTER (prediction = {c}) AS pred_{c}' for c in range(4))} FROM labelled GROUP BY label""",
+    "accuracy_f1_macro": f"""WITH {CLASS_SCORES} SELECT round(sum(hits) / sum(support)::DOUBLE, 6) AS accuracy,
+          round(avg(f1), 6) AS f1_macro FROM scores""",
+    "classification_report": f"""WITH {CLASS_SCORES},
+        report AS (SELECT CAST(class AS VARCHAR) AS class, precision, recall, f1, support FROM scores
+          UNION ALL SELECT 'accuracy', NULL, NULL, sum(hits) / sum(support)::DOUBLE, sum(support) FROM scores
+          UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM scores
+          UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+            sum(f1 * support) / sum(support), sum(support) FROM scores)
+        SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+          CAST(support AS BIGINT) AS support FROM report""",
+    # The parsed lines of the batch query, without the id.
+    "stream_features": f"""WITH {SPECTRA}, {PARSED}, {_features(source='parsed')}
+        SELECT dev_eui, mode, axis, ts_ms, {_round(*SPECTRAL_FEATURES)} FROM features""",
+    # Windows are emitted once the watermark (newest record minus one hour) has reached their end.
+    "stream_persistence": f"""{ON_SPECTRA}, timed AS (SELECT *, CAST(ts_ms AS BIGINT) AS ms FROM scored),
+        windows AS (SELECT dev_eui, mode, axis, is_anomaly, (ms // 10800000 - k) * 10800000 AS start_ms
+          FROM timed, (VALUES (0), (1)) o(k)),
+        counted AS (SELECT dev_eui, mode, axis, start_ms, sum(CAST(is_anomaly AS INTEGER)) AS anomalies FROM windows GROUP BY ALL)
+        SELECT dev_eui, mode, axis, make_timestamp(start_ms * 1000) AS window_start,
+          make_timestamp((start_ms + 21600000) * 1000) AS window_end, CAST(anomalies AS BIGINT) AS anomalies
+        FROM counted WHERE anomalies >= 2 AND start_ms + 21600000 <= (SELECT max(ms) - 3600000 FROM timed)""",
+    # The watermark follows all records, alerts or not.
+    "stream_alerts": f"""{ON_SPECTRA}, timed AS (SELECT *, CAST(ts_ms AS BIGINT) AS ms FROM scored),
+        counted AS (SELECT dev_eui, ms // 86400000 * 86400000 AS start_ms, count(*) AS alerts FROM timed
+          WHERE is_anomaly GROUP BY ALL)
+        SELECT dev_eui, make_timestamp(start_ms * 1000) AS period_start, alerts FROM counted
+        WHERE start_ms + 86400000 <= (SELECT max(ms) - 3600000 FROM timed)""",
+})

@@ -54,6 +54,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def busy_partitions(spark: SparkSession) -> int:
+    """Partition count for few but CPU-heavy groups. Given explicitly, adaptive execution does not merge them."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def training_partitions(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
+    """Fewer partitions for iterative training on small tables, where tasks would cost more than their work."""
+    wanted = max(1, -(-df.count() // rows_per_partition))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
