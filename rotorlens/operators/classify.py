@@ -10,7 +10,7 @@ import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rotorlens.operators.metrics import cv_summary as summarise
@@ -31,25 +31,30 @@ class FaultClassifier:
     models: tuple[GBTClassificationModel | None, ...]
     columns: tuple[str, ...]
 
-    def predict(self, df: DataFrame, x: str = "x") -> DataFrame:
-        """Add ``probability`` (array in class order), ``prediction`` and ``confidence``."""
+    def predict(self, df: DataFrame, x: str = "x", only: Column | None = None) -> DataFrame:
+        """Add ``probability`` (array in class order), ``prediction`` and ``confidence``.
+
+        Rows where ``only`` is not true get nulls. The models then run in a branch of a CASE, for the other rows only,
+        and the plan stays a single pass over ``df``.
+        """
         if len(self.classes) == 1:
-            shares = F.array(F.lit(1.0))
-            out = df
+            shares, out = F.array(F.lit(1.0)), df
         else:
             out = df.withColumn("_features", array_to_vector(F.col(x)))
             for c, model in zip(self.classes, self.models):
-                out = model.transform(out).drop(f"_raw_{c}", f"_label_{c}")
-            raw = F.array(*[vector_to_array(F.col(f"_p_{c}"))[1] for c in self.classes])
-            out = out.withColumn("_p", raw).drop("_features", *[f"_p_{c}" for c in self.classes])
-            total = F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p)
-            shares = F.transform("_p", lambda p: F.try_divide(p, total))
-        out = out.withColumn("probability", shares).drop("_p")
+                out = model.transform(out)
+            shares = F.array(*[vector_to_array(F.col(f"_p_{c}"))[1] for c in self.classes])
+        if only is not None:
+            shares = F.when(only, shares)
+        total = F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p)
+        out = out.select(*df.columns, shares.alias("_p"))
+        out = out.select(*df.columns, F.transform("_p", lambda p: F.try_divide(p, total)).alias("probability"))
         best = F.array_max("probability")
         index = F.array_position("probability", best).cast("int")
+        chosen = F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), index)
         return out.withColumns({
-            "confidence": best,
-            "prediction": F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), index)})
+            "confidence": best if only is None else F.when(only, best),
+            "prediction": chosen if only is None else F.when(only, chosen)})
 
     def importances(self) -> np.ndarray:
         """Mean impurity importance over the binary models, normalised."""
@@ -112,20 +117,24 @@ def stratified_folds(df: DataFrame, label: str = "label", folds: int = FOLDS, se
 
 def cross_validate(
     df: DataFrame, columns: Sequence[str], label: str = "label", x: str = "x", folds: int = FOLDS, seed: int = 42,
-    record_id: str = "record_id", **fit_options,
+    record_id: str = "record_id", parallel_folds: int = 3, **fit_options,
 ) -> DataFrame:
     """Accuracy per fold: ``fold, accuracy, rows``."""
     spark = df.sparkSession
     placed = stratified_folds(df.select(record_id, label, x), label, folds, seed, record_id)
     placed.persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
+
+    def rate(fold: int) -> tuple[int, float, int]:
+        model = fault_classifier_fit(placed.filter(F.col("fold") != fold), columns, label, x, seed=seed, **fit_options)
+        row = model.predict(placed.filter(F.col("fold") == fold), x).agg(
+            F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"),
+            F.count("*").alias("rows")).first()
+        return fold, row["accuracy"], row["rows"]
+
     try:
-        for fold in range(folds):
-            model = fault_classifier_fit(placed.filter(F.col("fold") != fold), columns, label, x, seed=seed, **fit_options)
-            row = model.predict(placed.filter(F.col("fold") == fold), x).agg(
-                F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"),
-                F.count("*").alias("rows")).first()
-            results.append((fold, row["accuracy"], row["rows"]))
+        placed.count()
+        with ThreadPool(min(parallel_folds, folds)) as pool:
+            results = pool.map(inheritable_thread_target(spark)(rate), range(folds))
     finally:
         placed.unpersist()
     return spark.createDataFrame(results, "fold int, accuracy double, rows long")

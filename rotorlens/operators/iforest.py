@@ -120,7 +120,9 @@ class IsolationForest:
         def forest_score(column: pa.Array) -> pa.Array:
             return pa.array(trees.score(matrix(column), sub_sample))
 
-        return forest_score(x)
+        # Declared non-deterministic only to keep filters on the score above it: pushed down, the predicate would run
+        # the function a second time, over a copy of every expression its input is made of.
+        return forest_score.asNondeterministic()(x)
 
     def score(self, df: DataFrame, x: str = "x", name: str = "anomaly_score") -> DataFrame:
         return df.withColumn(name, self.score_column(F.col(x)))

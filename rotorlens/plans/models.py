@@ -106,13 +106,10 @@ def predict_batch(df: DataFrame, models: Models, keep: Sequence[str] | None = No
     kept = list(df.columns if keep is None else keep)
     select_model_inputs(df, models.columns, keep=())  # raises where a column is missing
     flagged = models.forest.predict(models.scaler.vector(df, "_x"), "_x")
-    base = [*kept, "anomaly_score", "is_anomaly"]
-    classified = models.classifier.predict(flagged.filter("is_anomaly"), "_x")
-    anomalous = classified.select(
-        *base, F.col("prediction").cast("int").alias("fault_type"),
-        round_confidence(F.col("confidence")).alias("confidence"),
-        probabilities_map(F.col("probability"), F.lit(True)).alias("probabilities"))
-    normal = flagged.filter("NOT is_anomaly").select(
-        *base, F.lit(NORMAL_CODE).alias("fault_type"), F.lit(0.0).alias("confidence"),
-        F.create_map().cast("map<int,double>").alias("probabilities"))
-    return anomalous.unionByName(normal).withColumn("fault_description", fault_description(F.col("fault_type")))
+    rated = models.classifier.predict(flagged, "_x", only=F.col("is_anomaly"))
+    return rated.select(
+        *kept, "anomaly_score", "is_anomaly",
+        F.coalesce(F.col("prediction").cast("int"), F.lit(NORMAL_CODE)).alias("fault_type"),
+        fault_description(F.col("prediction").cast("int")).alias("fault_description"),
+        F.coalesce(round_confidence(F.col("confidence")), F.lit(0.0)).alias("confidence"),
+        probabilities_map(F.col("probability"), F.col("is_anomaly")).alias("probabilities"))
