@@ -14,12 +14,11 @@ NUMBER_PATTERN = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s
 def py_float(text: Column) -> Column:
     """Text to double, null when the text is not a plain decimal number.
 
-    ``try_cast`` alone would also take Java forms (``1d``, ``1f``, hex). Those always hold one of the letters
-    d, f or x, so only texts with such a letter pay for the full pattern; plain digits take the fast way.
+    ``try_cast`` alone would also take Java forms (``1d``, ``1f``, hex). Those always hold one of the letters d, f or x,
+    so only texts with such a letter pay for the full pattern; plain digits take the fast way.
     """
-    number = text.try_cast("double")
-    suspicious = text.rlike("[dDfFxX]")
-    return F.when(number.isNotNull() & (~suspicious | F.lower(text).rlike(NUMBER_PATTERN)), number)
+    plain = ~text.rlike("[dDfFxX]") | F.lower(text).rlike(NUMBER_PATTERN)
+    return F.when(plain, text).try_cast("double")
 
 
 def scrub(value: Column) -> Column:

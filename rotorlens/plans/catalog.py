@@ -157,6 +157,13 @@ def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     return S.hash_sample(fx.spectra(spark, sf).select("record_id", "dev_eui"), 1000)
 
 
+def numbered_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct ids for copies of one record; one id holds a third of all rows."""
+    copies = fx._table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise((F.col("event_id") % 97).cast("string")).alias("record_id"))
+    return S.number_copies(copies)
+
+
 def example_records(spark: SparkSession, sf: str) -> DataFrame:
     """Random single and four records, and the first five."""
     base = fx.spectra(spark, sf).select("record_id")
@@ -562,7 +569,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         raw_features_by_device, ingest_valid, ingest_discards, ingest_pairwise, ingest_lenient,
         features_all, features_eda, features_scrub, label_columns, dominant_peak, harmonic_energy, rule_diagnosis,
-        temp_range, min_group, group_sample_cap, hash_sample, example_records,
+        temp_range, min_group, group_sample_cap, hash_sample, numbered_copies, example_records,
         pred_jsonl_flatten, features_join_predictions, metadata_first, alerts_left_meta, label_dimension,
         severity_confidence, severity_crest, quantiles_crest,
         alerts_filtered, report_table, kpi_row, anomaly_rate, fault_distribution, fault_counts, severity_counts,

@@ -164,6 +164,10 @@ ORACLE: dict[str, str] = {
     "group_sample_cap": f"""WITH {SPECTRA} SELECT record_id, dev_eui FROM spectra
         QUALIFY row_number() OVER (PARTITION BY dev_eui ORDER BY {TIE}, record_id) <= 1000""",
     "hash_sample": f"""WITH {SPECTRA} SELECT record_id, dev_eui FROM spectra ORDER BY {TIE}, record_id LIMIT 1000""",
+    "numbered_copies": """WITH ids AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'hot'
+          ELSE CAST(event_id % 97 AS VARCHAR) END AS id FROM events),
+        numbered AS (SELECT id, row_number() OVER (PARTITION BY id) AS n FROM ids)
+        SELECT CASE WHEN n = 1 THEN id ELSE id || '#' || n END AS record_id FROM numbered""",
     "example_records": f"""WITH {EVENTS}
         (SELECT record_id, 'one' AS pick FROM base ORDER BY md5('1:' || record_id), record_id LIMIT 1) UNION ALL
         (SELECT record_id, 'four' AS pick FROM base ORDER BY md5('2:' || record_id), record_id LIMIT 4) UNION ALL

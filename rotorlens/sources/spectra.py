@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rotorlens.functions.numeric import py_float
 from rotorlens.operators.sampling import hash_sample
-from rotorlens.schema import CORRUPT_COLUMN, LINE_SCHEMA, SPECTRUM_TYPE
+from rotorlens.schema import CORRUPT_COLUMN, LINE_SCHEMA
 
 SPECTRA_COLUMNS = ["record_id", "dev_eui", "mode", "axis", "ts_ms", "temp", "spectrum"]
 LENIENT_LINES = 5000
@@ -51,10 +51,10 @@ def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     (``misaligned``); otherwise only that reading is dropped.
     """
     readings = F.col("line.Item.readings.L")
-    pairs = F.transform(
-        F.filter(readings, lambda r: r["M"]["frequency"].isNotNull() & r["M"]["value"].isNotNull()),
-        lambda r: F.struct(py_float(r["M"]["frequency"]["N"]).alias("freq"),
-                           py_float(r["M"]["value"]["N"]).alias("value")))
+    # An entry without both leaves is no reading at all: its frequency stays null, and null frequencies are dropped.
+    pairs = F.transform(readings, lambda r: F.struct(
+        F.when(r["M"]["value"].isNotNull(), py_float(r["M"]["frequency"]["N"])).alias("freq"),
+        py_float(r["M"]["value"]["N"]).alias("value")))
     numbers = {"mode": -1.0, "axis": -1.0, "timestamp": 0.0, "T1": 0.0}
     bad_metadata = F.lit(False)
     for field in numbers:
@@ -70,10 +70,13 @@ def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
         F.coalesce(F.col("line.Item.dev_eui.S"), F.lit("unknown")).alias("dev_eui"),
         *[F.coalesce(py_float(_number(field)), F.lit(default)).alias(name)
           for (field, default), name in zip(numbers.items(), ("mode", "axis", "ts_ms", "temp"))],
-        F.filter(pairs, lambda p: p["freq"].isNotNull()).alias("_pairs"),
+        pairs.alias("_pairs"),
     )
-    whole = F.filter("_pairs", lambda p: p["value"].isNotNull())
-    sized = staged.select("*", whole.alias("spectrum"))
+    # Most records have nothing to drop; one short check spares them the other passes over the array.
+    damaged = F.exists("_pairs", lambda p: p["freq"].isNull() | p["value"].isNull())
+    whole = F.filter("_pairs", lambda p: p["freq"].isNotNull() & p["value"].isNotNull())
+    checked = staged.select("*", damaged.alias("_damaged"))
+    sized = checked.select("*", F.when(F.col("_damaged"), whole).otherwise(F.col("_pairs")).alias("spectrum"))
     reason = (
         F.when(F.col("_malformed"), "malformed")
         .when(F.col("_no_item"), "no_item")
@@ -83,9 +86,9 @@ def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
         .when(F.col("_bad_metadata"), "bad_metadata")
     )
     if strict:
-        reason = reason.when(F.size("spectrum") < F.size("_pairs"), "misaligned")
-    row = F.struct(*SPECTRA_COLUMNS[:-1], F.col("spectrum").cast(SPECTRUM_TYPE).alias("spectrum"),
-                   reason.alias("discard_reason"))
+        misaligned = F.exists("_pairs", lambda p: p["freq"].isNotNull() & p["value"].isNull())
+        reason = reason.when(F.col("_damaged") & misaligned, "misaligned")
+    row = F.struct(*SPECTRA_COLUMNS[:-1], "spectrum", reason.alias("discard_reason"))
     # One struct per line through a generator: a filter on the reason then stays above it. Pushed below, it would
     # repeat the JSON parsing inside the predicate.
     return sized.select(F.inline(F.array(row)))
@@ -121,7 +124,7 @@ def parse_lines_lenient(
     readings = F.filter("line.Item.readings.L", lambda r: r["M"].isNotNull())
     pairs = F.transform(readings, lambda r: F.struct(leaf(r["M"]["frequency"]).alias("freq"),
                                                      leaf(r["M"]["value"]).alias("value")))
-    row = F.struct("record_id", F.when(~F.col("_malformed"), pairs).cast(SPECTRUM_TYPE).alias("spectrum"))
+    row = F.struct("record_id", F.when(~F.col("_malformed"), pairs).alias("spectrum"))
     parsed = _json(lines).select(F.inline(F.array(row)))
     broken = F.exists("spectrum", lambda p: p["freq"].isNull() | p["value"].isNull())
     return parsed.filter((F.size("spectrum") > min_points) & ~broken)
