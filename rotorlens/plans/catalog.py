@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from rotorlens.operators import clustering as C
 from rotorlens.operators import compare as CMP
 from rotorlens.operators import filters as FL
 from rotorlens.operators import group_iforest as G
+from rotorlens.operators import iforest as I
 from rotorlens.operators import joins as J
 from rotorlens.operators import lof as LOF
 from rotorlens.operators import metrics as MT
@@ -368,24 +371,37 @@ def confirmed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 ROUNDS = 10
 
 
-_TRAINED: dict[tuple[str, str], M.Training] = {}
-_STORED: dict[tuple[str, str], DataFrame] = {}
+_STAGES: dict[tuple[str, str, str], Any] = {}
+
+
+def _once(stage: str, spark: SparkSession, sf: str, make: Callable[[], Any]) -> Any:
+    """Run a training stage once per session and table set; queries share the stages they have in common."""
+    key = (stage, spark.sparkContext.applicationId, sf)
+    if key not in _STAGES:
+        _STAGES[key] = make()
+    return _STAGES[key]
 
 
 def _stored_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The feature table, written once per session and table set."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        _STORED[key] = materialise(fx.features(spark, sf), "features")
-    return _STORED[key]
+    return _once("features", spark, sf, lambda: materialise(fx.features(spark, sf), "features"))
+
+
+def _detector(spark: SparkSession, sf: str) -> tuple[SC.Scaler, I.IsolationForest]:
+    return _once("detector", spark, sf, lambda: M.fit_detector(_stored_features(spark, sf)))
+
+
+def _clusters(spark: SparkSession, sf: str) -> tuple[KMeansModel, DataFrame]:
+    return _once("clusters", spark, sf, lambda: M.fit_clusters(_stored_features(spark, sf), *_detector(spark, sf)))
+
+
+def _classifier(spark: SparkSession, sf: str) -> CL.FaultClassifier:
+    return _once("classifier", spark, sf, lambda: CL.fault_classifier_fit(
+        _clusters(spark, sf)[1], MODEL_INPUTS, n_estimators=ROUNDS))
 
 
-def _trained(spark: SparkSession, sf: str) -> M.Training:
-    """One training run per session and table set, shared by the queries that look at its results."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        _TRAINED[key] = M.train(_stored_features(spark, sf), n_estimators=ROUNDS)
-    return _TRAINED[key]
+def _models(spark: SparkSession, sf: str) -> M.Models:
+    scaler, forest = _detector(spark, sf)
+    return M.Models(tuple(MODEL_INPUTS), scaler, forest, _clusters(spark, sf)[0], _classifier(spark, sf))
 
 
 def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,17 +417,16 @@ def robust_scale(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
-    models = _trained(spark, sf).models
-    return models.scaler.vector(_stored_features(spark, sf)).select("record_id", "x")
+    return _detector(spark, sf)[0].vector(_stored_features(spark, sf)).select("record_id", "x")
 
 
 def iforest_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).models.forest.score(_scaled(spark, sf)).select("record_id", "anomaly_score")
+    return _detector(spark, sf)[1].score(_scaled(spark, sf)).select("record_id", "anomaly_score")
 
 
 def iforest_predict(spark: SparkSession, sf: str) -> DataFrame:
     """The flagged share follows from the contamination alone."""
-    flagged = _trained(spark, sf).models.forest.predict(_scaled(spark, sf))
+    flagged = _detector(spark, sf)[1].predict(_scaled(spark, sf))
     return rounded(R.anomaly_rate(flagged), "pct_anomalies")
 
 
@@ -423,7 +438,7 @@ def group_iforest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_best_of_10(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).labelled.select("record_id", "label")
+    return _clusters(spark, sf)[1].select("record_id", "label")
 
 
 def nearest_centre(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,8 +468,8 @@ def lof_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detector_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    models = _trained(spark, sf).models
-    return CMP.detector_comparison(materialise(_scaled(spark, sf), "scaled"), models.forest, models.kmeans)
+    scaled = materialise(_scaled(spark, sf), "scaled")
+    return CMP.detector_comparison(scaled, _detector(spark, sf)[1], _clusters(spark, sf)[0])
 
 
 def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
@@ -474,35 +489,34 @@ def classification_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fault_classifier(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).tables["train_predictions"]
+    fitted = _classifier(spark, sf).predict(_clusters(spark, sf)[1])
+    return fitted.select("record_id", "label", "prediction", "confidence")
 
 
 def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).tables["cv_summary"]
+    return MT.cv_summary(CL.cross_validate(_clusters(spark, sf)[1], MODEL_INPUTS, n_estimators=ROUNDS))
 
 
 def feature_importance_top(spark: SparkSession, sf: str) -> DataFrame:
-    classifier = _trained(spark, sf).models.classifier
-    return R.top_by(classifier.importance_table(spark), "importance", 10)
+    return R.top_by(_classifier(spark, sf).importance_table(spark), "importance", 10)
 
 
 def supervised_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Training on confirmed labels, joined by record id, instead of cluster numbers."""
-    training = _trained(spark, sf)
     confirmed = fx.labelled(spark, sf).select("record_id", "label")
-    points = training.labelled.select("record_id", "x")
-    model = CL.supervised_fit(points, confirmed, training.models.columns, n_estimators=ROUNDS)
+    points = _clusters(spark, sf)[1].select("record_id", "x")
+    model = CL.supervised_fit(points, confirmed, MODEL_INPUTS, n_estimators=ROUNDS)
     return model.predict(points).select("record_id", "prediction", "confidence")
 
 
 def predict_batch(spark: SparkSession, sf: str) -> DataFrame:
-    out = M.predict_batch(_stored_features(spark, sf), _trained(spark, sf).models, keep=["record_id"])
+    out = M.predict_batch(_stored_features(spark, sf), _models(spark, sf), keep=["record_id"])
     return out.withColumn("probabilities", F.to_json("probabilities"))
 
 
 def prediction_checks(spark: SparkSession, sf: str) -> DataFrame:
     """What has to hold for every prediction: clean normal records, probabilities that sum to 1."""
-    out = M.predict_batch(_stored_features(spark, sf), _trained(spark, sf).models, keep=["record_id"])
+    out = M.predict_batch(_stored_features(spark, sf), _models(spark, sf), keep=["record_id"])
     total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda acc, p: acc + p)
     clean = (F.col("fault_type") == -1) & (F.col("confidence") == 0) & (F.size("probabilities") == 0)
     sound = F.col("fault_type").between(0, 3) & (F.abs(total - 1) < 1e-9) & (F.col("confidence") >= 0.25)
@@ -514,7 +528,7 @@ def prediction_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions of the stored and re-read models equal those of the models in memory."""
-    features, models = _stored_features(spark, sf), _trained(spark, sf).models
+    features, models = _stored_features(spark, sf), _models(spark, sf)
     path = scratch_path(spark, "models")
     M.save_models(models, path, spark)
     columns = ["record_id", "anomaly_score", "is_anomaly", "fault_type", "confidence"]
@@ -546,7 +560,7 @@ def stream_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Scoring on the stream agrees with scoring the same records in batch."""
-    features, models = _stored_features(spark, sf), _trained(spark, sf).models
+    features, models = _stored_features(spark, sf), _models(spark, sf)
     live = X.extract_features(_event_stream(spark, sf))
     table = ST.run_available(ST.stream_predictions(live, models).select("record_id", "is_anomaly", "fault_type"))
     batch = M.predict_batch(features, models, keep=["record_id"]).select(

@@ -38,24 +38,39 @@ class Training:
     tables: dict[str, DataFrame]
 
 
-def train(
+def fit_detector(
     features: DataFrame, columns: Sequence[str] = tuple(MODEL_INPUTS), contamination: float | None = None,
-    trees: int = TREES, max_samples: int = SUB_SAMPLE, clusters: int = N_CLUSTERS, n_init: int = STARTS,
-    n_estimators: int = ESTIMATORS, folds: int | None = FOLDS, seed: int = 42,
-) -> Training:
-    """Scale, detect, cluster the anomalies, cross-validate and fit the classifier on the cluster labels.
-
-    ``features`` should be a stored table: it is read several times.
-    """
+    trees: int = TREES, max_samples: int = SUB_SAMPLE, seed: int = 42,
+) -> tuple[Scaler, IsolationForest]:
+    """Scaler and isolation forest. ``features`` should be a stored table: it is read several times."""
     inputs = select_model_inputs(features, columns)
     rows = inputs.count()
     share = contamination_for(rows) if contamination is None else contamination
     scaler = standard_scale_fit(inputs, columns)
     scaled = scaler.vector(inputs).select("record_id", "x")
-    forest = isolation_forest_fit(scaled, share, trees, max_samples, seed, rows=rows)
-    anomalous = materialise(forest.predict(scaled).filter("is_anomaly").select("record_id", "x"), "anomalies")
+    return scaler, isolation_forest_fit(scaled, share, trees, max_samples, seed, rows=rows)
+
+
+def fit_clusters(
+    features: DataFrame, scaler: Scaler, forest: IsolationForest, clusters: int = N_CLUSTERS, n_init: int = STARTS,
+    seed: int = 42,
+) -> tuple[KMeansModel, DataFrame]:
+    """K-means on the anomalies, and the anomalies with their cluster: ``record_id, x, label`` (a stored table)."""
+    inputs = select_model_inputs(features, scaler.columns)
+    flagged = forest.predict(scaler.vector(inputs).select("record_id", "x"))
+    anomalous = materialise(flagged.filter("is_anomaly").select("record_id", "x"), "anomalies")
     kmeans = kmeans_fit(anomalous, clusters, n_init, seed)
-    labelled = materialise(kmeans_predict(kmeans, anomalous, name="label"), "labelled")
+    return kmeans, materialise(kmeans_predict(kmeans, anomalous, name="label"), "labelled")
+
+
+def train(
+    features: DataFrame, columns: Sequence[str] = tuple(MODEL_INPUTS), contamination: float | None = None,
+    trees: int = TREES, max_samples: int = SUB_SAMPLE, clusters: int = N_CLUSTERS, n_init: int = STARTS,
+    n_estimators: int = ESTIMATORS, folds: int | None = FOLDS, seed: int = 42,
+) -> Training:
+    """Scale, detect, cluster the anomalies, cross-validate and fit the classifier on the cluster labels."""
+    scaler, forest = fit_detector(features, columns, contamination, trees, max_samples, seed)
+    kmeans, labelled = fit_clusters(features, scaler, forest, clusters, n_init, seed)
     tables = {"cluster_distribution": distribution(labelled, "label")}
     if folds:
         scores = cross_validate(labelled, columns, folds=folds, seed=seed, n_estimators=n_estimators)
