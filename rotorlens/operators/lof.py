@@ -77,7 +77,7 @@ def _search(queries: DataFrame, residents: DataFrame, k: int) -> DataFrame:
                           F.col("xs").alias("q_xs"))
     right = residents.select("cell", "_part", "vids", "xs", "weights")
     key = ["cell", "q_part", "_part"]
-    pairs = left.join(right, "cell").repartition(4 * busy_partitions(queries.sparkSession), *key)
+    pairs = left.join(right, "cell").repartition(busy_partitions(queries.sparkSession), *key)
 
     # One pair of blocks per group, so a worker never holds more than two blocks at a time.
     def compare(pair: pa.Table) -> pa.Table:
