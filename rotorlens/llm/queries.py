@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import line_dedup, quality_rules
+from rotorlens.llm import line_dedup, quality_rules, simhash
 from rotorlens.llm.common import table
 
 
@@ -20,7 +20,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("row.text", 256).alias("kept_sha256"))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_simhash_dedup": op5_simhash_dedup,
 }
