@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import line_dedup, quality_rules, simhash
-from rotorlens.llm.common import table
+from rotorlens.llm import line_dedup, mixing, packing, quality_rules, simhash, token_files
+from rotorlens.llm.common import shared_folder, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +26,32 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/llm/token-files-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_files.with_starts(token_files.digests(token_files.read_tokens(spark, path)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op7_mixing": op7_mixing,
+    "op8_packing": op8_packing,
+    "op10_token_files": op10_token_files,
 }
