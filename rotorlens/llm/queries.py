@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import line_dedup, mixing, packing, quality_rules, simhash, token_files
+from rotorlens.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, token_files
 from rotorlens.llm.common import shared_folder, table
 
 
@@ -16,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("n_lines", "n_upper")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("row.text", 256).alias("kept_sha256"))
@@ -49,6 +53,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_mixing": op7_mixing,
