@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, token_files
+from rotorlens.llm import line_dedup, mixing, neighbours, packing, quality_classifier, quality_rules, simhash, token_files
 from rotorlens.llm.common import shared_folder, table
 
 
@@ -45,6 +45,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm/token-files-{uuid.uuid4().hex}"
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file())
@@ -58,5 +62,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_token_files": op10_token_files,
 }
