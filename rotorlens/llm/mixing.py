@@ -22,7 +22,7 @@ from rotorlens.llm.common import small, stored, text_of, words
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
-BLOCK = 20_000
+BLOCK = 5_000
 #: Documents left for the landing.
 LAND = 14
 

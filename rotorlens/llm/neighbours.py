@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from rotorlens.llm.common import parts_for, stored
 
-DEGREE = 16
-MEMBERS = 24
-CELL = 400
-TABLES = 3
+DEGREE = 20
+MEMBERS = 40
+CELL = 800
+TABLES = 4
 ROUNDS = 6
 #: The rounds end when fewer than this share of the edges is new.
 LEAST_NEW = 0.01
-BEAM = 64
+BEAM = 96
 ENTRIES = 32
 STEPS = 40
 

@@ -9,17 +9,22 @@ from __future__ import annotations
 
 import json
 import re
+import string
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 0
 #: Pieces in each of the two generations that a worker remembers, and their longest length in characters.
-REMEMBERED = 350_000
+REMEMBERED = 300_000
 PIECE_CHARS = 64
+ENCODED_AT_ONCE = 5000
 
 
 def read_tokenizer(path: str) -> str:
@@ -49,18 +54,45 @@ class Encoder:
         self._by_piece = splits_at_spaces(description)
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _remember(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known. Of the known ones, those of the last two generations are kept."""
-        held = [x for x in pieces if x in self._older]
-        found = {x: self._older[x] for x in held}
-        new = [x for x in pieces if x not in found]
-        found.update(zip(new, self._encode([" " + x for x in new])))
-        if len(self._known) > REMEMBERED:
-            self._older, self._known = self._known, {}
+        """Ids of pieces that are not in the younger of the two generations that are kept.
+
+        Letters followed by ASCII punctuation are two tokens of the splitting rule, so a new piece of that kind is
+        put together from known letters and known punctuation where possible.
+        """
+        found, ends, new = {}, [], set()
+        older, known = self._older, self._known
+        for x in pieces:
+            ids = older.get(x)
+            if ids is not None:
+                found[x] = ids
+                continue
+            head = x.rstrip(string.punctuation)
+            if head.isalpha() and len(head) < len(x):
+                ends.append((x, head, x[len(head):]))
+                if head not in known:
+                    new.add(head)
+            else:
+                new.add(x)
+        reused = {x: older[x] for x in new if x in older}
+        wanted = [x for x in new if x not in reused]
+        for at in range(0, len(wanted), ENCODED_AT_ONCE):
+            part = wanted[at:at + ENCODED_AT_ONCE]
+            reused.update(zip(part, self._encode([" " + x for x in part])))
+        tails = list({tail for _, _, tail in ends} - self._tails.keys())
+        if len(self._tails) > REMEMBERED:
+            self._tails = {}
+            tails = list({tail for _, _, tail in ends})
+        self._tails.update(zip(tails, self._encode(tails)))
+        found.update(reused)
+        found.update((x, (reused[head] if head in reused else known[head]) + self._tails[tail]) for x, head, tail in ends)
+        if len(known) > REMEMBERED:
+            self._older, self._known = known, {}
         self._known.update((x, ids) for x, ids in found.items() if len(x) <= PIECE_CHARS)
         return found
 
@@ -91,16 +123,25 @@ class Encoder:
         return coded
 
 
-def batches_of(texts: list, size: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``size`` characters."""
+def encoder(description: str) -> Encoder:
+    """This worker's encoder: tasks that reuse a Python worker go on with what it remembers."""
+    held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__
+    if held.get("description") != description:
+        held.update(description=description, encoder=Encoder(description))
+    return held["encoder"]
+
+
+def slices(texts: pa.Array, characters: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about so many bytes."""
+    lengths = pc.binary_length(texts).fill_null(0).to_pylist()
     start, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
-        if held >= size:
+    for k, length in enumerate(lengths):
+        held += length
+        if held >= characters:
             yield start, k + 1
             start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def token_table(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
@@ -110,11 +151,11 @@ def token_table(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     end = array("I", [end_id]).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        known = encoder(shared.value)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in batches_of(texts):
-                coded = [x + end for x in encoder.batch(texts[a:b])]
+            keys, texts = batch.column(0), batch.column(1)
+            for a, b in slices(texts):
+                coded = [x + end for x in known.batch(texts.slice(a, b - a).to_pylist())]
                 offsets = array("i", [0])
                 for x in coded:
                     offsets.append(offsets[-1] + len(x) // 4)
