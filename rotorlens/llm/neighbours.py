@@ -24,12 +24,12 @@ from rotorlens.llm.common import parts_for, stored
 
 DEGREE = 20
 MEMBERS = 40
-CELL = 800
-TABLES = 4
-ROUNDS = 6
+CELL = 2000
+TABLES = 6
+ROUNDS = 4
 #: The rounds end when fewer than this share of the edges is new.
 LEAST_NEW = 0.01
-BEAM = 96
+BEAM = 256
 ENTRIES = 32
 STEPS = 40
 
@@ -108,11 +108,16 @@ def _keep(edges: DataFrame, degree: int) -> DataFrame:
 def descend(nodes: DataFrame, graph: DataFrame, count: int, number: int, degree: int = DEGREE,
             members: int = MEMBERS) -> DataFrame:
     """One round: neighbours of neighbours are compared, and every node keeps its nearest."""
-    both = graph.select(F.col("node").alias("u"), F.col("nbr").alias("v"), "new").unionByName(
-        graph.select(F.col("nbr").alias("u"), F.col("node").alias("v"), "new"))
-    draw = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("new"), F.xxhash64("u", "v", F.lit(number)), "v"))
-    drawn = both.groupBy("u", "v").agg(F.max("new").alias("new")).select("*", draw.alias("_r")).where(
-        F.col("_r") <= members).drop("_r")
+    both = graph.select(F.col("node").alias("u"), F.col("nbr").alias("v"), "new", F.lit(True).alias("own")).unionByName(
+        graph.select(F.col("nbr").alias("u"), F.col("node").alias("v"), "new", F.lit(False).alias("own")))
+    # A node's own neighbours all meet; of those that have it as neighbour, new ones are drawn first.
+    draw = F.row_number().over(Window.partitionBy("u").orderBy(
+        F.desc("own"), F.desc("new"), F.xxhash64("u", "v", F.lit(number)), "v"))
+    drawn = stored(both.groupBy("u", "v").agg(F.max("new").alias("new"), F.max("own").alias("own")).select(
+        "*", draw.alias("_r")).where(F.col("_r") <= members).drop("_r"), "drawn")
+    met = drawn.select(F.col("u").alias("nbr"), F.col("v").alias("node"), F.lit(True).alias("met"))
+    kept = graph.join(met, ["node", "nbr"], "left").select(
+        "node", "nbr", "d", (F.col("new") & F.col("met").isNull()).alias("new"))
     worst = graph.groupBy("node").agg(F.when(F.count("*") >= degree, F.max("d")).alias("worst"))
     described = nodes.select("node", "vec").join(worst, "node", "left")
     joined = drawn.join(described, F.col("v") == F.col("node")).drop("node")
@@ -142,7 +147,7 @@ def descend(nodes: DataFrame, graph: DataFrame, count: int, number: int, degree:
 
     candidates = joined.groupBy(F.pmod(F.xxhash64("u"), F.lit(buckets)).alias("bucket")).applyInPandas(
         lambda rows: compare(rows), "node long, nbr long, d double")
-    return _keep(graph.withColumn("new", F.lit(False)).unionByName(candidates.withColumn("new", F.lit(True))), degree)
+    return _keep(kept.unionByName(candidates.withColumn("new", F.lit(True))), degree)
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
