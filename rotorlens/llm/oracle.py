@@ -61,7 +61,46 @@ rebuilt AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_d
     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text FROM marked GROUP BY doc_id)
 """
 
+URL_FILTERS = r"""WITH hosted AS (SELECT page_id, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched_at,
+    lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*?)\.?(?::\d*)?(?:[/?#]|$)', 1)) AS host,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/*([^?#]*)', 1), '/'),
+        lambda x: x <> '') AS parts FROM pages),
+seen AS (SELECT DISTINCT host, CASE WHEN len(parts) > 0 THEN host || '/' || parts[1] ELSE host END AS part FROM hosted WHERE host <> ''),
+numbered AS (SELECT kind, key, ('0x' || substr(md5(key), 1, 6))::BIGINT AS n FROM (
+    SELECT DISTINCT 'h' AS kind, host AS key FROM seen
+    UNION SELECT 'd', array_to_string(list_slice(string_split(host, '.'), -2, len(string_split(host, '.'))), '.') FROM seen
+    UNION SELECT 'p', part FROM seen WHERE part <> host)),
+entries AS (
+    SELECT key, DATE '2024-01-01' + CAST(n % 300 AS INTEGER) AS since, n % 3 = 0 AS blocked FROM numbered WHERE kind = 'h'
+    UNION ALL SELECT key, DATE '2024-01-01' + CAST(n % 300 + 90 AS INTEGER), false FROM numbered WHERE kind = 'h' AND n % 3 = 0
+    UNION ALL SELECT key, DATE '2024-01-01' + CAST(n % 200 AS INTEGER), n % 4 = 0 FROM numbered WHERE kind = 'd'
+    UNION ALL SELECT key, DATE '2024-01-01' + CAST(n % 330 AS INTEGER), n % 2 = 0 FROM numbered WHERE kind = 'p' AND n % 5 = 0),
+once AS (SELECT key, since, max(blocked) AS blocked FROM entries GROUP BY key, since),
+changes AS (SELECT key, since, blocked FROM (SELECT *, lag(blocked) OVER (PARTITION BY key ORDER BY since) AS before FROM once)
+    WHERE blocked IS DISTINCT FROM before),
+asked AS (SELECT page_id, fetched_at, unnest(list_distinct(list_concat(
+    list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda k: array_to_string(list_slice(labels, k, len(labels)), '.')),
+    list_transform(range(1, least(len(parts), 3) + 1), lambda k: host || '/' || array_to_string(list_slice(parts, 1, k), '/'))))) AS key
+    FROM (SELECT *, string_split(host, '.') AS labels FROM hosted WHERE host <> '')),
+active AS (SELECT a.page_id, a.key, c.since, c.blocked FROM asked a ASOF JOIN changes c ON a.key = c.key AND a.fetched_at >= c.since),
+best AS (SELECT * FROM active QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(key) DESC, key DESC) = 1)
+SELECT h.page_id, h.fetched_at, b.key, b.since AS valid_from, coalesce(b.blocked, false) AS blocked
+FROM hosted h LEFT JOIN best b USING (page_id)"""
+
+SUBSTRINGS = r"""WITH token AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
+    generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) - 1 AS pos FROM documents),
+windowed AS (SELECT doc_id, pos, md5(string_agg(word, ' ') OVER w) AS win, count(*) OVER w AS width FROM token
+    WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+shared AS (SELECT win, min(doc_id) AS least FROM windowed WHERE width = 50 GROUP BY win HAVING min(doc_id) < max(doc_id)),
+held AS (SELECT doc_id, pos, least FROM windowed JOIN shared USING (win)),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM (SELECT *,
+    CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) <= 50 THEN 0 ELSE 1 END AS fresh FROM held))
+SELECT doc_id, min(pos)::BIGINT AS first_word, (max(pos) - min(pos) + 50)::BIGINT AS n_words, min(least) AS first_doc_id,
+    doc_id = min(least) AS is_first FROM runs GROUP BY doc_id, run"""
+
 ORACLE = {
+    "op2_url_filters": URL_FILTERS,
+    "op6_substring_dedup": SUBSTRINGS,
     "op1_quality_rules": _quality_rules(),
     "op4_line_dedup": f"""WITH docs AS (SELECT doc_id, text FROM documents), {LINE_DEDUP}
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM rebuilt""",

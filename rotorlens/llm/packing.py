@@ -11,8 +11,6 @@ the sequence and the place of each number.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorlens.llm.common import small, stored
-from rotorlens.llm.tokens import END_ID, token_table
+from rotorlens.llm.tokens import END_ID, encoded, id_lists
 
 CAPACITY = 2048
 #: Pieces of one length are numbered in hash blocks of about this many.
@@ -136,32 +134,24 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_
     """doc_id, piece, start, length, ids_crc32 (and ids): documents cut into pieces. Only documents longer than the
     capacity are cut; all their pieces but the first are full. Null and empty texts are the end id alone."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            bounds = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-            row, piece, start, length, crc, parts = [], [], [], [], [], []
-            for k in range(len(bounds) - 1):
-                a, b = int(bounds[k]), int(bounds[k + 1])
-                at, number = a, 0
-                while at < b:
-                    n = (b - at - 1) % capacity + 1 if number == 0 else capacity
-                    row.append(k), piece.append(number), start.append(at - a), length.append(n)
-                    crc.append(zlib.crc32(values[at:at + n]))
-                    parts.append(values[at:at + n].astype(np.int32)) if with_ids else None
-                    at, number = at + n, number + 1
-            columns = {"doc_id": batch.column(0).take(pa.array(row, pa.int64())), "piece": pa.array(piece, pa.int32()),
-                       "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
-                       "ids_crc32": pa.array(crc, pa.int64())}
-            if with_ids:
-                columns["ids"] = pa.array(parts, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(columns)
-
-    coded = token_table(docs, tokenizer, doc_id, text, end_id)
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    return coded.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-                            + (", ids array<int>" if with_ids else ""))
+    def finish(keys: pa.Array, coded: list[bytes]) -> pa.RecordBatch:
+        row, piece, start, crc, parts = [], [], [], [], []
+        for k, ids in enumerate(coded):
+            ids, at, number = memoryview(ids), 0, 0
+            while at < len(ids):
+                size = 4 * capacity if number else (len(ids) // 4 - 1) % capacity * 4 + 4
+                row.append(k), piece.append(number), start.append(at // 4), parts.append(ids[at:at + size])
+                at, number = at + size, number + 1
+        crc = [zlib.crc32(x) for x in parts]
+        columns = {"doc_id": keys.take(pa.array(row, pa.int64())), "piece": pa.array(piece, pa.int32()),
+                   "start": pa.array(start, pa.int64()), "length": pa.array([len(x) // 4 for x in parts], pa.int64()),
+                   "ids_crc32": pa.array(crc, pa.int64())}
+        if with_ids:
+            columns["ids"] = id_lists(parts)
+        return pa.RecordBatch.from_pydict(columns)
+
+    return encoded(docs, tokenizer, finish, "piece int, start long, length long, ids_crc32 long" + (
+        ", ids array<int>" if with_ids else ""), doc_id, text, end_id)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:

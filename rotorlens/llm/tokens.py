@@ -13,8 +13,10 @@ import string
 import sys
 import types
 from array import array
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -40,6 +42,22 @@ def splits_at_spaces(description: str) -> bool:
             and spec.get("normalizer") is None and (spec.get("model") or {}).get("type") == "BPE")
 
 
+class _Known(dict):
+    """Ids by piece. A piece that was known in the generation before is taken over; one that is new is noted down."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self.older, self.new = older, set()
+
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.older.get(piece)
+        if ids is None:
+            self.new.add(piece)
+        else:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids as bytes (little-endian, unsigned, 32 bits each). Strings of special tokens are ordinary text."""
 
@@ -52,74 +70,83 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(description)
         self._tokenizer.encode_special_tokens = True
         self._by_piece = splits_at_spaces(description)
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._known = _Known({})
         self._tails: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token has a character per byte
+        for token, k in vocabulary.items():
+            self._bytes[k] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not in the younger of the two generations that are kept.
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces after a space. Those without white space at their ends are encoded as one text and told apart
+        by the bytes that their ids stand for."""
+        plain = [x for x in pieces if x and not x[0].isspace() and not x[-1].isspace()]
+        found = {}
+        for at in range(0, len(plain), ENCODED_AT_ONCE):
+            part = plain[at:at + ENCODED_AT_ONCE]
+            text = " " + " ".join(part)
+            ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self._bytes[ids])
+            wanted = np.cumsum([len(x.encode()) + 1 for x in part])
+            cuts = (np.searchsorted(ends, wanted) + 1) * 4
+            raw, start = ids.tobytes(), 0
+            for piece, cut in zip(part, cuts.tolist()):
+                found[piece] = raw[start:cut]
+                start = cut
+        rest = [x for x in pieces if x not in found]
+        found.update(zip(rest, self._encode([" " + x for x in rest])))
+        return found
+
+    def _learn(self) -> dict[str, bytes]:
+        """Ids of the pieces noted down; those too long to be remembered are returned.
 
-        Letters followed by ASCII punctuation are two tokens of the splitting rule, so a new piece of that kind is
-        put together from known letters and known punctuation where possible.
+        Letters followed by ASCII punctuation are two tokens of the splitting rule, so a piece of that kind is put
+        together from its letters and its punctuation.
         """
-        found, ends, new = {}, [], set()
-        older, known = self._older, self._known
-        for x in pieces:
-            ids = older.get(x)
-            if ids is not None:
-                found[x] = ids
-                continue
+        known, ends, heads = self._known, [], set()
+        for x in known.new:
             head = x.rstrip(string.punctuation)
-            if head.isalpha() and len(head) < len(x):
+            if len(head) < len(x) and head.isalpha():
                 ends.append((x, head, x[len(head):]))
-                if head not in known:
-                    new.add(head)
-            else:
-                new.add(x)
-        reused = {x: older[x] for x in new if x in older}
-        wanted = [x for x in new if x not in reused]
-        for at in range(0, len(wanted), ENCODED_AT_ONCE):
-            part = wanted[at:at + ENCODED_AT_ONCE]
-            reused.update(zip(part, self._encode([" " + x for x in part])))
-        tails = list({tail for _, _, tail in ends} - self._tails.keys())
+                heads.add(head)
+        apart = {x for x, _, _ in ends}
+        known.new -= apart
+        known.new.update(head for head in heads if known[head] is None)  # noted down once more where new
+        found = self._encode_pieces(list(known.new))
         if len(self._tails) > REMEMBERED:
-            self._tails = {}
-            tails = list({tail for _, _, tail in ends})
+            self._tails.clear()
+        tails = list({tail for _, _, tail in ends} - self._tails.keys())
         self._tails.update(zip(tails, self._encode(tails)))
-        found.update(reused)
-        found.update((x, (reused[head] if head in reused else known[head]) + self._tails[tail]) for x, head, tail in ends)
-        if len(known) > REMEMBERED:
-            self._older, self._known = known, {}
-        self._known.update((x, ids) for x, ids in found.items() if len(x) <= PIECE_CHARS)
-        return found
+        for x, head, tail in ends:
+            found[x] = (known.get(head) or found[head]) + self._tails[tail]
+        known.new.clear()
+        known.update(found)
+        return {x: found[x] for x in found if len(x) > PIECE_CHARS}
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text is empty."""
-        whole, heads, pieces, parts, missing = {}, {}, {}, {}, set()
-        look = self._known.get
+        if len(self._known) > REMEMBERED:
+            self._known.older = {}
+            self._known = _Known(dict(self._known))
+        whole, heads, pieces = {}, {}, {}
+        look = self._known.__getitem__
         for k, text in enumerate(texts):
             text = text or ""
             if self._by_piece and not self._joined.search(text):
                 first, *rest = text.split(" ")
-                ids = list(map(look, rest))
-                if None in ids:
-                    pieces[k] = rest
-                    missing.update([x for x, y in zip(rest, ids) if y is None])
-                heads[k], parts[k] = first, ids
+                deque(map(look, rest), maxlen=0)
+                heads[k], pieces[k] = first, rest
             else:
                 whole[k] = text
-        found = self._remember(list(missing))
+        long = self._learn()
         heads = dict(zip(heads, self._encode(list(heads.values()))))
         whole = dict(zip(whole, self._encode(list(whole.values()))))
-        coded = []
-        for k in range(len(texts)):
-            ids = parts.get(k)
-            if k in pieces:
-                ids = [found[x] if y is None else y for x, y in zip(pieces[k], ids)]
-            coded.append(whole[k] if ids is None else b"".join([heads[k], *ids]))
+        coded = [whole[k] if k in whole else heads[k] + b"".join(map(look, pieces[k])) for k in range(len(texts))]
+        for x in long:
+            del self._known[x]
         return coded
 
 
@@ -144,9 +171,9 @@ def slices(texts: pa.Array, characters: int = 2_000_000) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
-def token_table(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
-                ) -> DataFrame:
-    """doc_id, ids (array of int, the end id last), one row per input row; null and empty texts: the end id alone."""
+def encoded(docs: DataFrame, tokenizer: str, finish: Callable[[pa.Array, list[bytes]], pa.RecordBatch], schema: str,
+            doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
+    """What ``finish`` makes of slices of ids of documents and their token ids (bytes, the end id last), in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))  # a vocabulary, a few MB
     end = array("I", [end_id]).tobytes()
 
@@ -155,14 +182,25 @@ def token_table(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for a, b in slices(texts):
-                coded = [x + end for x in known.batch(texts.slice(a, b - a).to_pylist())]
-                offsets = array("i", [0])
-                for x in coded:
-                    offsets.append(offsets[-1] + len(x) // 4)
-                values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), lists], names=["doc_id", "ids"])
+                coded = known.batch(texts.slice(a, b - a).to_pylist())
+                yield finish(keys.slice(a, b - a), [x + end for x in coded])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        encode, f"doc_id {kind}, ids array<int>")
+        encode, f"doc_id {kind}, {schema}")
+
+
+def id_lists(coded: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in coded]))).astype(np.int32)
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(coded))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def token_table(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
+                ) -> DataFrame:
+    """doc_id, ids (array of int, the end id last), one row per input row; null and empty texts: the end id alone."""
+
+    def finish(keys: pa.Array, coded: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, id_lists(coded)], names=["doc_id", "ids"])
+
+    return encoded(docs, tokenizer, finish, "ids array<int>", doc_id, text, end_id)
