@@ -35,7 +35,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_cop
     their limit, found by ordering the sources by limit per weight. These windows run over one row per source.
     """
     totals = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_docs")),
-                    "sources")
+                    "sources", 1)
     number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weighed = totals.select("*", number.alias("k")).select("*", F.array(*map(F.lit, weights))[
         F.col("k") % len(weights)].alias("w"))
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                                F.size(words(text_of(text))).cast("long").alias("size")), "sizes")
-    targets = stored(source_targets(sized, weights, max_copies), "targets")
+    targets = stored(source_targets(sized, weights, max_copies), "targets", 1)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = sized.join(small(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target", F.floor(ratio).alias("sure"),

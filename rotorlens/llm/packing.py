@@ -173,7 +173,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Dat
         Window.partitionBy("length").orderBy("_block")) - F.col("_n")).alias("_shift"))
     inside = F.row_number().over(Window.partitionBy("length", "_block").orderBy("doc_id", "piece", "start", "ids_crc32"))
     numbered = cut.select("*", inside.cast("long").alias("_k"))
-    numbered = numbered.join(small(stored(shift, "shifts")), (F.col("length") == F.col("_l")) & (
+    numbered = numbered.join(small(stored(shift, "shifts", 1)), (F.col("length") == F.col("_l")) & (
         F.col("_block") == F.col("_b"))).select(*held.columns, (F.col("_k") + F.col("_shift") - 1).alias("_number"))
     # A few slots per pattern; patterns are bounded by the capacity (enumerated per length), whatever the data.
     places = F.broadcast(held.sparkSession.createDataFrame(

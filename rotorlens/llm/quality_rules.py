@@ -115,7 +115,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     counts = stored(document_counts(docs, doc_id, text, lang, source), "quality-counts")
     bounds = limits(sketch(counts), fence).select(
         F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *LEAST_SPREAD)
-    joined = counts.join(small(stored(bounds, "quality-limits")), F.col("lang").eqNullSafe(F.col("g_lang")) & F.col(
+    joined = counts.join(small(stored(bounds, "quality-limits", 1)), F.col("lang").eqNullSafe(F.col("g_lang")) & F.col(
         "source").eqNullSafe(F.col("g_source")), "left")
     base = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
