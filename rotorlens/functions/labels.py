@@ -54,6 +54,12 @@ def translate_label(label: Column, translation: Mapping[str, str] = LABEL_TRANSL
     return lookup(label, translation, label)
 
 
+def short_text(label: str) -> str:
+    """The wording of ``short_label`` for a label of the dimension."""
+    _, dash, tail = label.rpartition(" - ")
+    return tail.capitalize() if dash else label
+
+
 def short_label(label: Column) -> Column:
     """Last part after `` - ``, first letter upper, the rest lower; unchanged without a separator."""
     last = F.element_at(F.split(label, " - "), -1)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -24,7 +26,6 @@ from rotorlens.operators.report import severity_by_crest
 from rotorlens.operators.sampling import hash_key
 
 ROWS_PER_BLOCK = 1_000_000
-MAX_BLOCKS = 10_000
 
 
 def label_predictions(predictions: DataFrame) -> DataFrame:
@@ -70,18 +71,29 @@ def report_alerts(df: DataFrame) -> DataFrame:
 
 # --- Temporal filters ---
 
-def _time_splits(df: DataFrame, order: str, rows_per_block: int) -> list[float]:
-    """Boundaries that cut all rows, in time order, into blocks of about ``rows_per_block``.
+def _time_blocks(df: DataFrame, rows_per_block: int) -> DataFrame:
+    """``df`` (ts_ms, _fraction) with ``_block``, which never falls along (ts_ms, _fraction).
 
-    Only the boundaries reach the driver, at most ``MAX_BLOCKS`` numbers.
+    Quantiles of all times cut the rows into blocks of about ``rows_per_block``. A time that fills several blocks is a
+    quantile several times over; its rows are cut by the hash fraction. Only the quantiles reach the driver.
     """
-    rows = df.count()
-    blocks = min(MAX_BLOCKS, max(1, -(-rows // rows_per_block)))
+    blocks = max(1, -(-df.count() // rows_per_block))
     if blocks == 1:
-        return []
+        return df.withColumn("_block", F.lit(0))
     probs = [i / blocks for i in range(1, blocks)]
-    edges = df.agg(F.percentile_approx(order, probs, 10 * MAX_BLOCKS).alias("e")).first()["e"]
-    return sorted({float(e) for e in edges})
+    edges = df.agg(F.percentile_approx("ts_ms", probs, 10 * blocks).alias("e")).first()["e"]
+    times = Counter(float(e) for e in edges or [])
+    distinct = sorted(times)
+    upto = list(accumulate((times[t] for t in distinct), initial=0))
+    numbers = lambda values: F.array(*[F.lit(v) for v in values])
+    placed = Bucketizer(splits=[float("-inf"), *distinct, float("inf")], inputCol="ts_ms", outputCol="_bucket",
+                        handleInvalid="keep").transform(df)
+    bucket = F.col("_bucket").cast("int")
+    after = F.coalesce(F.get(numbers(upto), bucket), F.lit(upto[-1]))
+    at_edge = F.col("ts_ms") == F.get(numbers(distinct), bucket - 1)
+    here = F.get(numbers([times[t] for t in distinct]), bucket - 1)
+    within = after - here + F.floor(F.col("_fraction") * (here + 1))
+    return placed.withColumn("_block", F.when(at_edge, within).otherwise(after).cast("int")).drop("_bucket")
 
 
 def persistence_by_rows(
@@ -96,25 +108,16 @@ def persistence_by_rows(
     of the blocks before it are carried over.
     """
     by = list(by)
-    # The hash fraction also splits records of one and the same millisecond; 2 ** -11 ms steps fit a double here.
     tie = hash_key("record_id", seed)
     fraction = F.floor(F.conv(F.substring(tie, 1, 3), 16, 10).cast("double") / 2) / F.lit(2048.0)
-    marked = df.withColumns({
-        "_flag": F.coalesce("is_anomaly", F.lit(False)).cast("int"), "_tie": tie, "_order": F.col("ts_ms") + fraction})
-    splits = _time_splits(marked.select("_order"), "_order", rows_per_block)
-    if splits:
-        bucketizer = Bucketizer(
-            splits=[float("-inf"), *splits, float("inf")], inputCol="_order", outputCol="_bucket", handleInvalid="keep")
-        marked = bucketizer.transform(marked).withColumn("_block", F.col("_bucket").cast("int")).drop("_bucket")
-    else:
-        marked = marked.withColumn("_block", F.lit(0))
-
-    order = [F.col("_order"), F.col("_tie"), F.col("record_id")]
+    marked = _time_blocks(df.withColumns({
+        "_flag": F.coalesce("is_anomaly", F.lit(False)).cast("int"), "_tie": tie, "_fraction": fraction}), rows_per_block)
+    order = [F.col("ts_ms"), F.col("_tie"), F.col("record_id")]
     within = W.partitionBy(*by, "_block").orderBy(*order)
     counted = marked.withColumns({
         "_row": F.row_number().over(within),
         "_own": F.sum("_flag").over(within.rowsBetween(-(window - 1), 0))})
-    if splits and window > 1:
+    if window > 1:
         carried = _carried_flags(marked, by, order, window)
         match = F.col("_block") == F.col("_c_block")
         for c in by:
@@ -134,9 +137,9 @@ def persistence_by_rows(
 def _carried_flags(marked: DataFrame, by: list[str], order: list[Column], window: int) -> DataFrame:
     """Per (series, block): the flags of the ``window - 1`` records before the block, oldest first."""
     keys = [*by, "_block"]
-    last = W.partitionBy(*keys).orderBy(F.desc("_order"), F.desc("_tie"), F.desc("record_id"))
+    last = W.partitionBy(*keys).orderBy(F.desc("ts_ms"), F.desc("_tie"), F.desc("record_id"))
     # row_number() <= k lets Spark keep only k rows per group before it shuffles.
-    tails = (marked.select(*keys, "_order", "_tie", "record_id", "_flag")
+    tails = (marked.select(*keys, "ts_ms", "_tie", "record_id", "_flag")
              .withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= window - 1)
              .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("o"), "_flag"))).alias("_t")))
     # Every block listed holds at least one record, so window - 1 blocks back always reach far enough.

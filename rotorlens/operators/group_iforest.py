@@ -78,7 +78,7 @@ def group_forest_predict(
         match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     rows = slim.join(right, match).withColumn("_part", F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")) \
         .select(*by, "_part", "_id", "_x")
-    spread = models.join(parts, by).withColumn(
+    spread = models.join(right, match).drop(*[f"_k_{c}" for c in by]).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
     def score(key: tuple, records: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:

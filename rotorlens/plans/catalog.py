@@ -167,6 +167,16 @@ def numbered_copies(spark: SparkSession, sf: str) -> DataFrame:
     return S.number_copies(copies)
 
 
+def repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines of which every third comes twice: parsed, given features, joined with predictions; a row per line."""
+    spectra = fx.spectra(spark, sf)
+    lines = fx.lines_from(spectra).unionByName(fx.lines_from(spectra.filter("event_id % 3 = 0")))
+    features = X.extract_features(SRC.valid_spectra(SRC.parse_lines(SRC.numbered_lines(lines))))
+    flags = features.select("record_id", (F.col("rms") > 0).alias("is_anomaly"))
+    joined = J.features_with_predictions(features.select("record_id", "dev_eui"), flags)
+    return joined.groupBy("dev_eui").agg(F.count("*").alias("n"), F.count_distinct("record_id").alias("ids"))
+
+
 def example_records(spark: SparkSession, sf: str) -> DataFrame:
     """Random single and four records, and the first five."""
     base = fx.spectra(spark, sf).select("record_id")
@@ -280,8 +290,12 @@ def fault_by_severity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def device_fault_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels as predicted, as translated for a report (even ids), and unknown (every ninth)."""
     meta = fx.spectra(spark, sf).select("record_id", "event_id", "dev_eui")
-    return R.device_fault_pivot(FL.anomalies(A.label_predictions(fx.pseudo_predictions(meta))))
+    alerts = FL.anomalies(A.label_predictions(fx.pseudo_predictions(meta)))
+    mixed = F.when(F.col("event_id") % 9 == 0, F.lit("unknown")).when(
+        F.col("event_id") % 2 == 0, L.translate_label(F.col("fault_label"))).otherwise(F.col("fault_label"))
+    return R.device_fault_pivot(alerts.withColumn("fault_label", mixed))
 
 
 def box_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -583,7 +597,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         raw_features_by_device, ingest_valid, ingest_discards, ingest_pairwise, ingest_lenient,
         features_all, features_eda, features_scrub, label_columns, dominant_peak, harmonic_energy, rule_diagnosis,
-        temp_range, min_group, group_sample_cap, hash_sample, numbered_copies, example_records,
+        temp_range, min_group, group_sample_cap, hash_sample, numbered_copies, repeated_lines, example_records,
         pred_jsonl_flatten, features_join_predictions, metadata_first, alerts_left_meta, label_dimension,
         severity_confidence, severity_crest, quantiles_crest,
         alerts_filtered, report_table, kpi_row, anomaly_rate, fault_distribution, fault_counts, severity_counts,

@@ -12,7 +12,6 @@ from rotorlens.functions.spectral import extract_features
 from rotorlens.operators.alerts import label_predictions
 from rotorlens.session import spread
 
-SHAPES = 500  # embeddings used as spectrum shapes (ids 0 .. 499)
 SHAFT_HZ = 10.5
 
 
@@ -21,9 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spectra_from(events: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """Spectra of an event frame, batch or streaming. At most ``SHAPES`` embeddings are joined, hence broadcast."""
-    shapes = embeddings.filter(F.col("vec_id") < SHAPES).select("vec_id", "embedding", "label")
-    joined = spread(events).join(F.broadcast(shapes), F.col("event_id") % SHAPES == F.col("vec_id"))
+    """Spectra of an event frame, batch or streaming. All embeddings (ids 0, 1, ...) are shapes; Spark picks the join."""
+    count = max(1, embeddings.count())
+    shapes = embeddings.select("vec_id", "embedding", "label")
+    joined = spread(events).join(shapes, F.pmod(F.col("event_id"), F.lit(count)) == F.col("vec_id"))
     scale = 1 + F.col("value") / 100
     spectrum = F.transform(
         "embedding",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rotorlens.functions.labels import short_text
 from rotorlens.schema import (
     EDA_EPS,
     EDA_TEMP,
@@ -21,7 +22,7 @@ SPECTRA = """spectra AS (
          list_transform(range(64), lambda i: CAST(i AS DOUBLE) * CAST(1.5 AS DOUBLE)) AS freqs,
          list_transform(v.embedding, lambda x: abs(CAST(x AS DOUBLE)) * (1 + e.value / 100)) AS vals,
          CAST(v.label % 4 AS INTEGER) AS true_label
-  FROM events e JOIN embeddings v ON v.vec_id = e.event_id % 500)"""
+  FROM events e JOIN embeddings v ON v.vec_id = e.event_id % (SELECT count(*) FROM embeddings))"""
 
 
 def _features(eps: float = EPS, temp: str = "temp", source: str = "spectra", name: str = "features") -> str:
@@ -122,6 +123,9 @@ ORACLE: dict[str, str] = {
     "ingest_valid": f"""WITH {SPECTRA}, {PARSED}
         SELECT dev_eui, mode, axis, ts_ms, temp, CAST(len(vals) AS INTEGER) AS points,
                round(list_sum(list_transform(vals, lambda x: x * x)), 6) AS energy FROM parsed""",
+    "repeated_lines": f"""WITH {SPECTRA}, {PARSED}
+        SELECT dev_eui, CAST(sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n,
+               CAST(sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS ids FROM parsed GROUP BY dev_eui""",
     "ingest_discards": """SELECT CASE event_id % 50 WHEN 3 THEN 'malformed' WHEN 7 THEN 'malformed' WHEN 43 THEN 'malformed'
           WHEN 11 THEN 'no_item' WHEN 13 THEN 'no_readings' WHEN 17 THEN 'empty_list' WHEN 19 THEN 'no_values'
           WHEN 23 THEN 'bad_metadata' WHEN 29 THEN 'misaligned' ELSE 'valid' END AS outcome, count(*) AS n
@@ -222,8 +226,8 @@ ORACLE: dict[str, str] = {
     "fault_by_severity": f"""{ON_SPECTRA} SELECT fault_label, severity_level, count(*) AS n, {_short('fault_label')} AS fault_short,
           CAST({RANK} AS INTEGER) AS sev_rank FROM alerts GROUP BY fault_label, severity_level""",
     "device_fault_pivot": f"""{ON_SPECTRA} SELECT dev_eui, {', '.join(
-        f'count(*) FILTER (fault_type = {c}) AS "{label.split(" - ")[-1].capitalize()}"' for c, label in FAULT_LABELS.items())}
-        FROM alerts GROUP BY dev_eui""",
+        f'count(*) FILTER (fault_type = {c} AND event_id % 9 <> 0) AS "{short_text(label)}"' for c, label in FAULT_LABELS.items())},
+        count(*) FILTER (event_id % 9 = 0) AS other FROM alerts GROUP BY dev_eui""",
     "box_stats": f"""{ON_FEATURES}, q AS (SELECT fault_label, quantile_cont(crest_factor, 0.25) AS q1,
           quantile_cont(crest_factor, 0.5) AS median, quantile_cont(crest_factor, 0.75) AS q3
           FROM scored WHERE is_anomaly GROUP BY fault_label),

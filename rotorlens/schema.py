@@ -69,14 +69,14 @@ _READING = T.StructType([
 ])
 CORRUPT_COLUMN = "_corrupt"
 LINE_SCHEMA = T.StructType([
-    T.StructField("line", T.StructType([T.StructField("Item", T.StructType([
+    T.StructField("line", T.ArrayType(T.StructType([T.StructField("Item", T.StructType([
         T.StructField("dev_eui", _STRING_LEAF),
         T.StructField("mode", _NUMBER_LEAF),
         T.StructField("axis", _NUMBER_LEAF),
         T.StructField("timestamp", _NUMBER_LEAF),
         T.StructField("T1", _NUMBER_LEAF),
         T.StructField("readings", T.StructType([T.StructField("L", T.ArrayType(_READING))])),
-    ]))])),
+    ]))]))),
     T.StructField(CORRUPT_COLUMN, T.StringType()),
 ])
 

@@ -27,12 +27,15 @@ def build_session(master: str | None = None, app_name: str = "rotorlens", **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the session names none (unit tests on one machine) is a local one set.
+    A session within one process may do without the setting and gets a folder of its own; a cluster may not.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="rotorlens-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

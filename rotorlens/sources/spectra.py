@@ -1,7 +1,7 @@
 """Scan of JSON lines with typed leaves (``{"Item": {"mode": {"N": "1"}, ...}}``) into spectra.
 
 ``parse_lines`` is a narrow transformation of any frame with a ``value`` column, so files, streams and derived
-frames take the same way. Nothing shuffles: the record id is a hash of the line, not a position.
+frames take the same way. The record id is a hash of the line, not a position; ``numbered_lines`` tells copies apart.
 """
 
 from __future__ import annotations
@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rotorlens.functions.numeric import py_float
-from rotorlens.operators.sampling import hash_sample
+from rotorlens.operators.sampling import hash_sample, number_copies
 from rotorlens.schema import CORRUPT_COLUMN, LINE_SCHEMA
 
 SPECTRA_COLUMNS = ["record_id", "dev_eui", "mode", "axis", "ts_ms", "temp", "spectrum"]
-LENIENT_LINES = 5000
 LENIENT_MIN_POINTS = 10
 
 
@@ -28,12 +27,26 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def _json(lines: DataFrame) -> DataFrame:
-    # The parser stops after one complete value. Wrapped as a field, text behind the record is an error as well.
-    wrapped = F.concat(F.lit('{"line":'), F.col("value"), F.lit("}"))
+    # The parser stops after one complete value. Wrapped as the one element of a list, text behind the record is an
+    # error as well, or makes the list longer.
+    wrapped = F.concat(F.lit('{"line":['), F.col("value"), F.lit("]}"))
     parsed = F.from_json(wrapped, LINE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    return (lines.select(F.sha2(F.col("value"), 256).alias("record_id"), parsed.alias("_j"))
-            .select("record_id", F.col("_j.line").alias("line"),
-                    (F.col("_j.line").isNull() | F.col(f"_j.{CORRUPT_COLUMN}").isNotNull()).alias("_malformed")))
+    own = F.col("record_id") if "record_id" in lines.columns else F.sha2(F.col("value"), 256)
+    return (lines.select(own.alias("record_id"), parsed.alias("_j"))
+            .select("record_id", F.when(F.size("_j.line") == 1, F.get("_j.line", 0)).alias("line"),
+                    F.col(f"_j.{CORRUPT_COLUMN}").isNotNull().alias("_corrupt"))
+            .select("record_id", "line", (F.col("line").isNull() | F.col("_corrupt")).alias("_malformed")))
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``value`` with a ``record_id`` that no other line has: the line's hash, for further copies with a number.
+
+    Hashes alone are counted. Only lines that repeat are counted again as rows and re-created with their numbers.
+    """
+    keyed = lines.select(F.sha2(F.col("value"), 256).alias("record_id"), "value")
+    again = keyed.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id")
+    return keyed.join(again, "record_id", "left_anti").unionByName(
+        number_copies(keyed.join(again, "record_id", "left_semi")))
 
 
 def _number(field: str) -> Column:
@@ -105,11 +118,11 @@ def discard_counts(parsed: DataFrame) -> DataFrame:
 
 
 def read_spectra(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
-    return valid_spectra(parse_lines(read_lines(spark, path), strict))
+    return valid_spectra(parse_lines(numbered_lines(read_lines(spark, path)), strict))
 
 
 def parse_lines_lenient(
-    lines: DataFrame, limit: int | None = LENIENT_LINES, min_points: int = LENIENT_MIN_POINTS, seed: int = 42,
+    lines: DataFrame, limit: int | None = None, min_points: int = LENIENT_MIN_POINTS, seed: int = 42,
 ) -> DataFrame:
     """Exploratory scan: missing frequency or value counts as 0, only spectra with more than ``min_points`` stay.
 
@@ -131,7 +144,7 @@ def parse_lines_lenient(
 
 
 def read_spectra_lenient(
-    spark: SparkSession, path: str | list[str], limit: int | None = LENIENT_LINES,
+    spark: SparkSession, path: str | list[str], limit: int | None = None,
     min_points: int = LENIENT_MIN_POINTS, seed: int = 42,
 ) -> DataFrame:
     return parse_lines_lenient(read_lines(spark, path), limit, min_points, seed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,9 @@ def read_feature_metadata(spark: SparkSession, path: str, fmt: str = "parquet")
     """Record id and those metadata columns the table has; an empty frame where there is no table."""
     try:
         table = spark.read.option("header", True).format(fmt).load(path)
-    except Exception:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], T.StructType([T.StructField("record_id", T.StringType())]))
     return select_existing(table, ["record_id", *META_COLUMNS, "ts_ms"])
 
@@ -75,12 +78,16 @@ def predictions_as_json_array(df: DataFrame, batch_key: str, accept: str = "appl
 
 
 def parse_predictions(lines: DataFrame, schema: T.StructType = PREDICTION_SCHEMA) -> DataFrame:
-    """JSON lines to prediction rows. A line holds an object or a list of objects; other lines are ignored."""
+    """JSON lines to prediction rows. A line holds one object or a list; other lines and other elements are ignored."""
     text = F.trim("value")
-    listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-    wrapper = T.StructType([T.StructField("rows", T.ArrayType(schema))])
-    parsed = F.from_json(F.concat(F.lit('{"rows":'), listed, F.lit("}")), wrapper)
-    return lines.filter(F.length(text) > 0).select(parsed.getField("rows").alias("rows")).select(F.inline("rows"))
+    is_list = text.startswith("[")
+    listed = F.when(is_list, text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    # Elements stay text at first, so that one of another kind does not cost its neighbours.
+    elements = F.from_json(F.concat(F.lit('{"rows":'), listed, F.lit("}")), "rows array<string>").getField("rows")
+    each = lines.filter(F.length(text) > 0).select(is_list.alias("_list"), elements.alias("_rows")).filter(
+        F.col("_list") | (F.size("_rows") == 1)).select(F.explode("_rows").alias("_row"))
+    objects = each.filter(F.col("_row").startswith("{")).select(F.from_json("_row", schema).alias("_row"))
+    return objects.select("_row.*")
 
 
 def read_predictions_jsonl(spark: SparkSession, paths: str | list[str],
@@ -92,6 +99,10 @@ ALERT_COLUMNS = ["record_id", *META_COLUMNS, "ts_ms", "is_anomaly", "fault_type"
                  "severity_level"]
 
 
+_ALERT_TYPES = {"mode": "double", "axis": "double", "ts_ms": "double", "is_anomaly": "boolean", "fault_type": "int",
+                "confidence": "double", "anomaly_score": "double"}
+
+
 def write_alert_tables(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
     """Write ``all_predictions`` and, from that table, ``alerts``. Returns the alerts as read back.
 
@@ -111,4 +122,5 @@ def read_report_frame(spark: SparkSession, features_path: str, predictions_path:
     """Features and predictions joined for reporting."""
     features = read_features(spark, features_path, fmt)
     predictions = spark.read.option("header", True).format(fmt).load(predictions_path)
-    return features_with_predictions(features, predictions)
+    typed = {c: F.col(c).cast(t) for c, t in _ALERT_TYPES.items() if c in predictions.columns}  # a CSV has only text
+    return features_with_predictions(features, predictions.withColumns(typed))
