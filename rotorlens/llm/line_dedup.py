@@ -36,7 +36,7 @@ def shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
                      "line-holders")
     common = holders.groupBy("h", "c").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(
         F.col("n") >= min_docs).select("h", "c", "keeper")
-    losing = holders.join(common, ["h", "c"]).where(F.col("doc_id") < F.col("keeper"))
+    losing = holders.join(common.hint("shuffle_hash"), ["h", "c"]).where(F.col("doc_id") < F.col("keeper"))
     return losing.groupBy("doc_id").agg(F.collect_list(F.struct("h", "c")).alias("drop"))
 
 
@@ -51,7 +51,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """
     rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.split(text_of(text), "\n").alias("lines"))
     drops = shared_lines(docs, doc_id, text, min_chars, min_docs).withColumnRenamed("doc_id", "drop_id")
-    joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left")
+    # The lists of digests are the small side of every partition; the texts needn't be sorted to meet them.
+    joined = rows.join(drops.hint("shuffle_hash"), F.col("id") == F.col("drop_id"), "left")
     short = lambda line: F.length(line) < min_chars
     kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter(
         "lines", lambda line: short(line) | ~F.array_contains(F.col("drop"), _digest(line_key(line)))))
