@@ -27,6 +27,7 @@ from rotorlens.operators import sampling as S
 from rotorlens.operators import scaling as SC
 from rotorlens.plans import fixtures as fx
 from rotorlens.plans import models as M
+from rotorlens.plans.table_queries import TABLE_QUERIES
 from rotorlens.schema import (
     FAULT_LABELS,
     LABEL_TRANSLATION,
@@ -613,3 +614,4 @@ QUERIES: dict[str, Query] = {
         stream_features, stream_predictions, stream_persistence, stream_alerts,
     )
 }
+QUERIES |= TABLE_QUERIES

@@ -9,6 +9,7 @@ from rotorlens.schema import (
     EPS,
     FAULT_LABELS,
     LABEL_TRANSLATION,
+    MODEL_INPUTS,
     NORMAL_ALERT_LABEL,
     NORMAL_DESCRIPTION,
     SPECTRAL_FEATURES,
@@ -369,3 +370,22 @@ ORACLE.update({
         SELECT dev_eui, make_timestamp(start_ms * 1000) AS period_start, alerts FROM counted
         WHERE start_ms + 86400000 <= (SELECT max(ms) - 3600000 FROM timed)""",
 })
+
+ORACLE |= {
+    "feature_files": f"""{FEATURES} SELECT fmt, record_id, dev_eui, {_round('axis', 'rms', 'crest_factor')}
+        FROM features, (VALUES ('parquet'), ('csv')) AS f(fmt)""",
+    "feature_metadata": f"{FEATURES} SELECT record_id, dev_eui, mode, axis, ts_ms FROM features",
+    "model_inputs": f"""WITH {SPECTRA}, {_features()} SELECT record_id, {", ".join(
+        f"round(CASE WHEN event_id % 7 = 0 THEN 0 ELSE temp END, 6) AS temp" if c == "temp" else f"round({c}, 6) + 0.0::DOUBLE AS {c}"
+        for c in MODEL_INPUTS)} FROM features""",
+    "prediction_files": f"{ON_EVENTS} SELECT record_id, is_anomaly, fault_type, confidence FROM scored",
+    "prediction_arrays": f"{ON_EVENTS} SELECT record_id, is_anomaly, fault_type FROM scored",
+    "alert_files": f"""{ON_SPECTRA} SELECT record_id, dev_eui, fault_type, {DESCRIBED} AS fault_label, severity_level
+        FROM scored WHERE is_anomaly""",
+    "report_frame_files": f"""{ON_FEATURES} SELECT record_id, dev_eui, round(rms, 6) AS rms,
+        CASE WHEN event_id % 11 <> 0 THEN is_anomaly END AS is_anomaly,
+        CASE WHEN event_id % 11 <> 0 THEN fault_type END AS fault_type,
+        CASE WHEN event_id % 11 <> 0 THEN confidence END AS confidence FROM scored""",
+    "chronological_order": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS inversions FROM events",
+    "text_stream": f"""WITH {SPECTRA}, {PARSED} SELECT dev_eui, ts_ms, CAST(len(vals) AS INTEGER) AS points FROM parsed""",
+}
