@@ -389,9 +389,18 @@ ROUNDS = 10
 _STAGES: dict[tuple[str, str, str], Any] = {}
 
 
+def _contents(spark: SparkSession, sf: str) -> str:
+    """A digest of the rows of the tables that the training stages read."""
+    sums = []
+    for name in ("events", "embeddings"):
+        table = fx._table(spark, sf, name)
+        sums.append(table.agg(F.count("*"), F.sum(F.xxhash64(*table.columns).cast("decimal(20,0)"))).first())
+    return repr(sums)
+
+
 def _once(stage: str, spark: SparkSession, sf: str, make: Callable[[], Any]) -> Any:
-    """Run a training stage once per session and table set; queries share the stages they have in common."""
-    key = (stage, spark.sparkContext.applicationId, sf)
+    """Run a training stage once per session and table contents; queries share the stages they have in common."""
+    key = (stage, spark.sparkContext.applicationId, _contents(spark, sf))
     if key not in _STAGES:
         _STAGES[key] = make()
     return _STAGES[key]
@@ -476,6 +485,14 @@ def silhouette_euclid(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(C.silhouette(points), "silhouette")
 
 
+def silhouette_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouette with squared distances over all labelled embeddings."""
+    points = fx._table(spark, sf, "embeddings").select(
+        F.transform("embedding", lambda v: v.cast("double")).alias("x"), F.col("label").alias("cluster"))
+    found = spark.createDataFrame([(C.silhouette_squared(points),)], "silhouette double")
+    return rounded(found, "silhouette")
+
+
 def lof_scores(spark: SparkSession, sf: str) -> DataFrame:
     points = fx._table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("record_id"), F.transform("embedding", lambda v: v.cast("double")).alias("x"))
@@ -607,7 +624,7 @@ QUERIES: dict[str, Query] = {
         alerts_per_period, indicator_evolution,
         persistence_rows, persistence_range, extreme_scores, confirmed_anomalies,
         standard_scale, robust_scale, iforest_scores, iforest_predict, group_iforest,
-        kmeans_best_of_10, nearest_centre, cluster_distribution, silhouette_euclid, lof_scores, detector_comparison,
+        kmeans_best_of_10, nearest_centre, cluster_distribution, silhouette_euclid, silhouette_all, lof_scores, detector_comparison,
         stratified_folds, confusion_matrix, accuracy_f1_macro, classification_report,
         fault_classifier, cv_summary, feature_importance_top, supervised_labels,
         predict_batch, prediction_checks, model_roundtrip,

@@ -330,6 +330,12 @@ ORACLE.update({
           count(*) AS n FROM means)
         SELECT round(s, 6) AS silhouette, n AS rows,
           CASE WHEN s >= 0.5 THEN 'good' WHEN s >= 0.3 THEN 'moderate' ELSE 'low' END AS verdict FROM total""",
+    "silhouette_all": f"""WITH {POINTS},
+        sizes AS (SELECT label, count(*) AS n FROM points GROUP BY label),
+        sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(power({DISTANCE}, 2)) AS s FROM points a, points b GROUP BY ALL),
+        means AS (SELECT vec_id, max(s / greatest(n - 1, 1)) FILTER (own = other) AS inner_mean,
+          min(s / n) FILTER (own <> other) AS outer_mean FROM sums JOIN sizes ON sizes.label = sums.other GROUP BY vec_id)
+        SELECT round(avg((outer_mean - inner_mean) / greatest(inner_mean, outer_mean)), 6) AS silhouette FROM means""",
     "lof_scores": f"""WITH {POINTS}, pairs AS (SELECT a.record_id, b.record_id AS other, {DISTANCE} AS d
           FROM points a, points b WHERE a.record_id <> b.record_id),
         near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY d, other) <= 20),
