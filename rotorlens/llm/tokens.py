@@ -42,6 +42,18 @@ def splits_at_spaces(description: str) -> bool:
             and spec.get("normalizer") is None and (spec.get("model") or {}).get("type") == "BPE")
 
 
+def _spelling() -> dict[int, str]:
+    """Byte-level vocabularies spell each byte as a character: visible ones of Latin-1 as they are, the others, in
+    order, from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
+_SPELLED = _spelling()
+_SPACE = _SPELLED[0x20]
+
+
 class _Known(dict):
     """Ids by piece. A piece that was known in the generation before is taken over; one that is new is noted down."""
 
@@ -72,32 +84,22 @@ class Encoder:
         self._by_piece = splits_at_spaces(description)
         self._known = _Known({})
         self._tails: dict[str, bytes] = {}
-        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
-        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token has a character per byte
-        for token, k in vocabulary.items():
-            self._bytes[k] = len(token)
+        self._model = self._tokenizer.model
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces after a space. Those without white space at their ends are encoded as one text and told apart
-        by the bytes that their ids stand for."""
-        plain = [x for x in pieces if x and not x[0].isspace() and not x[-1].isspace()]
-        found = {}
-        for at in range(0, len(plain), ENCODED_AT_ONCE):
-            part = plain[at:at + ENCODED_AT_ONCE]
-            text = " " + " ".join(part)
-            ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(self._bytes[ids])
-            wanted = np.cumsum([len(x.encode()) + 1 for x in part])
-            cuts = (np.searchsorted(ends, wanted) + 1) * 4
-            raw, start = ids.tobytes(), 0
-            for piece, cut in zip(part, cuts.tolist()):
-                found[piece] = raw[start:cut]
-                start = cut
+        """Ids of pieces after a space. Letters alone are one token of the splitting rule and go to the model at once."""
+        tokenize, found = self._model.tokenize, {}
+        for x in pieces:
+            if x.isalpha():
+                spelled = _SPACE + x if x.isascii() else _SPACE + x.encode().decode("latin-1").translate(_SPELLED)
+                found[x] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
         rest = [x for x in pieces if x not in found]
-        found.update(zip(rest, self._encode([" " + x for x in rest])))
+        for at in range(0, len(rest), ENCODED_AT_ONCE):
+            part = rest[at:at + ENCODED_AT_ONCE]
+            found.update(zip(part, self._encode([" " + x for x in part])))
         return found
 
     def _learn(self) -> dict[str, bytes]:
