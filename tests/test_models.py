@@ -65,7 +65,7 @@ def test_group_forests(spark):
                         "u": RNG.normal(size=n), "v": RNG.normal(size=n)})
     pdf.loc[:4, ["g", "u", "v"]] = ["hot", 30.0, 30.0]
     df = spark.createDataFrame(pdf)
-    models = G.group_forest_fit(df, ["u", "v"], ["g"], contamination=0.02, minimum=50, cap=500, trees=20)
+    models = G.group_forest_fit(df, ["u", "v"], ["g"], contamination=0.02, minimum=50, trees=20)
     assert {r["g"] for r in models.select("g").collect()} == {"hot", "b"}
     out = G.group_forest_predict(df, models, ["u", "v"], ["g"], rows_per_task=100).toPandas()
     assert len(out) == n
