@@ -1,6 +1,6 @@
 """Headline timings. Prints one JSON line.
 
-``BENCH_SF_DIR`` (default sf0.1) names the tables, ``BENCH_CPUS`` (default 8) the cores, ``BENCH_ROUNDS`` (default 20)
+``BENCH_SF_DIR`` (default sf0.1) names the tables, ``BENCH_CPUS`` (default 8) the cores, ``BENCH_ROUNDS`` (default 100)
 the boosting rounds. The stages are those of a full run: parse raw lines and extract features, fit and apply the
 detector, cluster the anomalies, fit the classifier, score everything; then the report queries on the stored tables.
 """
@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    rounds = int(os.environ.get("BENCH_ROUNDS", "20"))
+    rounds = int(os.environ.get("BENCH_ROUNDS", "100"))
 
     from rotorlens.functions.spectral import extract_features
     from rotorlens.operators import alerts as A
