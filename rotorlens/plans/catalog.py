@@ -602,12 +602,12 @@ def stream_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_persistence(spark: SparkSession, sf: str) -> DataFrame:
-    table = ST.run_available(ST.persistent_windows(_scored_stream(spark, sf)))
+    table = ST.run_updates(ST.persistent_windows(_scored_stream(spark, sf)), ["dev_eui", "mode", "axis", "window_start", "window_end"])
     return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    table = ST.run_available(ST.alerts_per_period(_scored_stream(spark, sf)))
+    table = ST.run_updates(ST.alerts_per_period(_scored_stream(spark, sf)), ["dev_eui", "period_start"])
     return table.withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
 
 

@@ -368,13 +368,11 @@ ORACLE.update({
         counted AS (SELECT dev_eui, mode, axis, start_ms, sum(CAST(is_anomaly AS INTEGER)) AS anomalies FROM windows GROUP BY ALL)
         SELECT dev_eui, mode, axis, make_timestamp(start_ms * 1000) AS window_start,
           make_timestamp((start_ms + 21600000) * 1000) AS window_end, CAST(anomalies AS BIGINT) AS anomalies
-        FROM counted WHERE anomalies >= 2 AND start_ms + 21600000 <= (SELECT max(ms) - 3600000 FROM timed)""",
-    # The watermark follows all records, alerts or not.
+        FROM counted WHERE anomalies >= 2""",
     "stream_alerts": f"""{ON_SPECTRA}, timed AS (SELECT *, CAST(ts_ms AS BIGINT) AS ms FROM scored),
         counted AS (SELECT dev_eui, ms // 86400000 * 86400000 AS start_ms, count(*) AS alerts FROM timed
           WHERE is_anomaly GROUP BY ALL)
-        SELECT dev_eui, make_timestamp(start_ms * 1000) AS period_start, alerts FROM counted
-        WHERE start_ms + 86400000 <= (SELECT max(ms) - 3600000 FROM timed)""",
+        SELECT dev_eui, make_timestamp(start_ms * 1000) AS period_start, alerts FROM counted""",
 })
 
 ORACLE |= {

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rotorlens.functions.labels import event_time
 from rotorlens.functions.spectral import extract_features
@@ -50,7 +51,8 @@ def persistent_windows(
 
 
 def alerts_per_period(scored: DataFrame, period: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Alerts per device and tumbling period, each emitted once, when the watermark has passed its end."""
+    """Alerts per device and tumbling period. ``run_available`` emits each once, when the watermark has passed its end;
+    ``run_updates`` has every period of the data read so far."""
     alerts = _timed(scored, delay).filter(F.coalesce("is_anomaly", F.lit(False)))
     counted = alerts.groupBy(F.window("timestamp", period).alias("w"), "dev_eui").agg(F.count("*").alias("alerts"))
     return counted.select("dev_eui", F.col("w.start").alias("period_start"), "alerts")
@@ -67,3 +69,26 @@ def run_available(stream: DataFrame, path: str | None = None, checkpoint: str |
              .option("checkpointLocation", checkpoint or f"{path}-checkpoint").start(path))
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def run_updates(stream: DataFrame, keys: Sequence[str], path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Process everything available now and return the windows as they stand, those still open included.
+
+    Every micro-batch writes the windows it changed under its number, so a batch that runs again replaces its own rows;
+    the latest state of each window is the one of its highest batch.
+    """
+    spark = stream.sparkSession
+    path = path or scratch_path(spark, "stream")
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/_number=-1")
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/_number={number}")
+
+    query = (stream.writeStream.outputMode("update").foreachBatch(put).trigger(availableNow=True)
+             .option("checkpointLocation", checkpoint or f"{path}-checkpoint").start())
+    query.awaitTermination()
+    states = spark.read.schema(StructType([*stream.schema.fields, StructField("_number", LongType())])).option("basePath", path).parquet(
+        f"{path}/_number=*")
+    values = [c for c in stream.columns if c not in keys]
+    return states.groupBy(*keys).agg(F.max_by(F.struct(*values), "_number").alias("_v")).select(*keys, "_v.*").select(
+        *stream.columns)

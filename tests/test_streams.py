@@ -43,3 +43,14 @@ def test_late_records_are_dropped(spark, folder):
     put("b", [3, 60])  # hour 3 is behind the watermark (30 - 1)
     assert run(periods) == [("d", 0, 2), ("d", 86400, 1)]
     assert all(n == 2 for _, w, n in run(windows) if w == 0)
+
+
+def test_updates_have_every_window(spark, folder):
+    schema = "record_id string, dev_eui string, mode double, axis double, ts_ms double, is_anomaly boolean"
+    for part, hours in enumerate(([1, 2, 30], [31, 60])):
+        rows = [(f"{part}-{h}", "d", 1.0, 1.0, h * 3_600_000.0, True) for h in hours]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = ST.alerts_per_period(spark.readStream.schema(schema).parquet(f"{folder}/in"))
+        out = ST.run_updates(stream, ["dev_eui", "period_start"], f"{folder}/out")
+        got = sorted((int(r.p) // 86400, r.alerts) for r in out.select(F.unix_seconds("period_start").alias("p"), "alerts").collect())
+        assert got == ([(0, 2), (1, 1)] if part == 0 else [(0, 2), (1, 2), (2, 1)])
