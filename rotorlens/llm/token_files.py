@@ -77,7 +77,8 @@ def digests(tokens: DataFrame) -> DataFrame:
 
 def with_starts(counted: DataFrame, rows_per_range: int = ROWS_PER_FILE) -> DataFrame:
     """Adds ``start``: the sum of ``n_tokens`` over all rows before, by ascending doc_id (nulls first; equal ids by
-    their length and digest). Sums are taken per range of ids and then within each range."""
+    their length and digest; rows that repeat an id share one stretch, in whichever order the files hold them). Sums are
+    taken per range of ids and then within each range."""
     held = stored(counted, "token-counts")
     ranged = held.select("*", range_number("doc_id", id_ranges(held, "doc_id", rows_per_range)).alias("range"))
     totals = ranged.groupBy("range").agg(F.sum("n_tokens").alias("sum"))
