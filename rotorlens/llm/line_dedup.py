@@ -34,9 +34,10 @@ def shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     keys = lines.select("doc_id", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     holders = stored(keys.select("doc_id", _digest(F.col("key")).alias("d")).select("doc_id", "d.h", "d.c").distinct(),
                      "line-holders")
-    common = holders.groupBy("h", "c").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(
-        F.col("n") >= min_docs).select("h", "c", "keeper")
-    losing = holders.join(common.hint("shuffle_hash"), ["h", "c"]).where(F.col("doc_id") < F.col("keeper"))
+    # Stored, so that both sides of the join are shuffled for it: only then can adaptive execution split a hot line.
+    common = stored(holders.groupBy("h", "c").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(
+        F.col("n") >= min_docs).select("h", "c", "keeper"), "common-lines")
+    losing = holders.join(common, ["h", "c"]).where(F.col("doc_id") < F.col("keeper"))
     return losing.groupBy("doc_id").agg(F.collect_list(F.struct("h", "c")).alias("drop"))
 
 

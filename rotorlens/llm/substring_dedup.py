@@ -98,7 +98,9 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: i
 def candidate_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """doc_id, stretches (array of from, to; bytes): chunks that another document has, with their neighbours."""
     cut = stored(chunks(docs, doc_id, text, reach), "chunks")
-    shared = cut.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("digest")
+    # Stored, so that both sides of the join are shuffled for it: only then can adaptive execution split a hot digest.
+    shared = stored(cut.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where(
+        "a <> b").select("digest"), "shared-chunks")
     found = cut.join(shared, "digest", "left_semi").select(
         "doc_id", F.greatest(F.col("start") - 2 * reach - MEMORY, F.lit(0)).alias("from"),
         (F.col("end") + 2 * reach + MEMORY).alias("to"))
@@ -156,8 +158,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     an id are one document. Empty table: no rows. Extra columns are ignored.
     """
     windows = stored(repeated_windows(docs, doc_id, text, min_words, reach).distinct(), "windows")
-    shared = windows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
-        "least <> most").select("digest", "least")
+    shared = stored(windows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
+        "least <> most").select("digest", "least"), "shared-windows")
     held = windows.join(shared, "digest").groupBy("doc_id", "word").agg(F.min("least").alias("least"))
     order = Window.partitionBy("doc_id").orderBy("word")  # the words of one document
     marked = held.select("*", F.coalesce((F.col("word") - F.lag("word").over(order) > min_words).cast("int"), F.lit(1)).alias("_new"))
