@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 END_ID = 0
 #: Pieces in each of the two generations that a worker remembers, and their longest length in characters.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 PIECE_CHARS = 64
 ENCODED_AT_ONCE = 5000
 
