@@ -1,14 +1,15 @@
-"""Repeated passages by content-defined chunking.
-
-A gear rolling hash runs over the bytes of each text; a chunk ends where the hash is the smallest of the ``REACH``
-positions around it, so cuts depend on the bytes nearby alone and move along with insertions; they lie ``REACH`` bytes
-apart on average, and 250 bytes with fewer than two are not met in 400,000 (tests). Chunks are deduplicated by digest. Stretches made of chunks that other documents have, with
-the chunk before and after, are the candidates; an exact check follows there: windows of ``MIN_WORDS`` words whose
-digest two documents share. A passage of that many words is longer than two chunks and the hash's memory, and a stretch
-that is put together from shorter shared pieces does not pass.
-
-Only digests and positions are shuffled. Counting is combined on the map side; the joins have one row per digest on one
-side, so a passage that very many documents share is split by adaptive execution.
+"""Repeated passages by content-defined anchors.
+
+A gear rolling hash runs over the words of each text (not its bytes, so white space between words doesn't count). Every
+run of hashes as long as ``min_words`` leaves room for has its smallest one marked: the words that this hash remembers
+are an anchor. What is marked depends on the words of the run alone, so each passage of ``min_words`` words holds an
+anchor, and the same one in every document that has the passage, however short its words and however it is wrapped.
+Anchors are deduplicated by digest. The windows of ``min_words`` words around an anchor that another document has are the
+candidates; an exact check follows there: windows whose digest two documents share. A stretch that is put together from
+shorter shared pieces does not pass.
+
+Only digests and positions are shuffled before the exact check. Counting is combined on the map side; the joins have one
+row per digest on one side, so a passage that very many documents share is split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from rotorlens.llm.common import stored
 
-#: Bytes that the gear hash remembers.
+#: Steps that the gear hash remembers at most, a power of two.
 MEMORY = 32
+#: Bytes of a chunk on average, where texts are cut by bytes.
 REACH = 40
 MIN_WORDS = 50
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -34,11 +36,11 @@ def gear_table(seed: int = 11) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
-def gear_hashes(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
-    """h[i] = sum of gear[byte i-k] << k over the last MEMORY bytes, by doubling."""
+def gear_hashes(data: np.ndarray, gear: np.ndarray, memory: int = MEMORY) -> np.ndarray:
+    """h[i] = sum of gear[data[i-k]] << k over the last ``memory`` (a power of two) places, by doubling."""
     h = gear[data]
     span = 1
-    while span < MEMORY:
+    while span < memory:
         h[span:] = h[span:] + (h[:-span] << np.uint32(span))
         span *= 2
     return h
@@ -55,7 +57,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def chunk_ends(data: np.ndarray, gear: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Ends (exclusive) of the chunks of a text's bytes, the last one its length."""
+    """Ends (exclusive) of the chunks of a text's bytes, the last one its length. No bound holds for a chunk's length."""
     n = len(data)
     if n <= reach:
         return np.array([n])
@@ -70,94 +72,108 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
-    """doc_id, digest, start, end (bytes) of every chunk of every whole text."""
-    kind = docs.schema[doc_id].dataType.simpleString()
-
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        gear = gear_table()
-        for batch in batches:
-            ids, digests, starts, ends = [], [], [], []
-            for key, body in zip(batch["doc_id"], map(_bytes, batch["text"])):
-                if not body:
-                    continue
-                end = chunk_ends(np.frombuffer(body, np.uint8), gear, reach)
-                start = np.concatenate(([0], end[:-1]))
-                digests.extend([xxhash.xxh64_intdigest(body[a:b]) for a, b in zip(start.tolist(), end.tolist())])
-                ids.extend([key] * len(end)), starts.append(start), ends.append(end)
-            none = [np.zeros(0, np.int64)]
-            yield pd.DataFrame({"doc_id": ids, "digest": np.array(digests, np.uint64).view(np.int64),
-                                "start": np.concatenate(starts or none), "end": np.concatenate(ends or none)})
-
-    return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        of, f"doc_id {kind}, digest long, start long, end long")
+def word_hashes(body: bytes) -> np.ndarray:
+    """A 64-bit hash per word; ``split`` knows the same white space as _WORD."""
+    import xxhash
 
+    return np.array(list(map(xxhash.xxh64_intdigest, body.split())), np.uint64)
 
-def candidate_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
-    """doc_id, stretches (array of from, to; bytes): chunks that another document has, with their neighbours."""
-    cut = stored(chunks(docs, doc_id, text, reach), "chunks")
-    # Stored, so that both sides of the join are shuffled for it: only then can adaptive execution split a hot digest.
-    shared = stored(cut.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where(
-        "a <> b").select("digest"), "shared-chunks")
-    found = cut.join(shared, "digest", "left_semi").select(
-        "doc_id", F.greatest(F.col("start") - 2 * reach - MEMORY, F.lit(0)).alias("from"),
-        (F.col("end") + 2 * reach + MEMORY).alias("to"))
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
 
+def anchor_words(min_words: int) -> int:
+    """Words of an anchor: a power of two, at most a third of a passage."""
+    return min(MEMORY, 1 << max(0, (min_words // 3).bit_length() - 1))
 
-def _word_windows(body: bytes, stretches: np.ndarray, width: int) -> tuple[list[int], list[int]]:
-    """Word number and digest of every window of ``width`` words that lies in one of the merged stretches."""
-    import xxhash
 
-    spans = np.array([m.span() for m in _WORD.finditer(body)], np.int64).reshape(-1, 2)
-    if len(spans) < width:
-        return [], []
-    stretches = stretches[np.argsort(stretches[:, 0])]
-    reach = np.maximum.accumulate(stretches[:, 1])
-    at = np.searchsorted(stretches[:, 0], spans[:len(spans) - width + 1, 0], "right") - 1
-    # A window counts if the stretches that begin before it go on without a gap to its end.
-    gap = np.flatnonzero(stretches[1:, 0] > reach[:-1])
-    limit = np.concatenate([reach[gap], reach[-1:]])
-    block = np.searchsorted(gap, at)
-    inside = (at >= 0) & (spans[width - 1:, 1] <= limit[np.minimum(block, len(limit) - 1)])
-    tokens = np.array([xxhash.xxh64_intdigest(body[a:b]) for a, b in spans.tolist()], np.uint64)
-    value = np.zeros(len(spans) - width + 1, np.uint64)
+def _digests(tokens: np.ndarray, width: int) -> np.ndarray:
+    """Digest of the ``width`` words that begin at each word."""
+    value = np.zeros(len(tokens) - width + 1, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(width):
             value = value * np.uint64(0x9E3779B97F4A7C15) + tokens[k:k + len(value)]
-    rows = np.flatnonzero(inside)
-    return rows.tolist(), value[rows].view(np.int64).tolist()
+    return value.view(np.int64)
 
 
-def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                     reach: int = REACH) -> DataFrame:
-    """doc_id, word, digest: windows of ``min_words`` words (by number of the first) in candidate stretches."""
+def anchor_starts(tokens: np.ndarray, min_words: int = MIN_WORDS) -> np.ndarray:
+    """First words of the anchors. Any ``min_words`` words hold one; which one depends on these words alone."""
+    size = anchor_words(min_words)
+    if len(tokens) < min_words:
+        return np.zeros(0, np.int64)
+    h = gear_hashes(np.arange(len(tokens)), (tokens >> np.uint64(32)).astype(np.uint32), size)[size - 1:]
+    # The place makes equal hashes differ: the last of them is the smallest.
+    placed = (h.astype(np.uint64) << np.uint64(32)) | np.arange(len(h), 0, -1, dtype=np.uint64)
+    least = np.unique(_sliding_min(placed, min_words - size + 1))
+    return np.sort(len(h) - (least & np.uint64(0xFFFFFFFF)).astype(np.int64))
+
+
+def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, digest, word (number of the first) of every anchor of every whole text."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            none = np.zeros(0, np.int64)
+            ids, digests, words = [], [none], [none]
+            for key, body in zip(batch["doc_id"], map(_bytes, batch["text"])):
+                tokens = word_hashes(body)
+                start = anchor_starts(tokens, min_words)
+                if len(start):
+                    digests.append(_digests(tokens, anchor_words(min_words))[start])
+                    ids.extend([key] * len(start)), words.append(start)
+            yield pd.DataFrame({"doc_id": ids, "digest": np.concatenate(digests), "word": np.concatenate(words)})
+
+    return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+        of, f"doc_id {kind}, digest long, word long")
+
+
+def candidate_anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, starts (array of word numbers): the anchors that another document has."""
+    found = stored(anchors(docs, doc_id, text, min_words), "anchors")
+    # Stored, so that both sides of the join are shuffled for it: only then can adaptive execution split a hot digest.
+    shared = stored(found.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where(
+        "a <> b").select("digest"), "shared-anchors")
+    return found.join(shared, "digest", "left_semi").groupBy("doc_id").agg(F.collect_set("word").alias("starts"))
+
+
+def _word_windows(tokens: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word number and digest of every window of ``width`` words that holds one of the anchors."""
+    last = len(tokens) - width
+    if last < 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # A row that repeats an id may have another text: its windows end where this text does.
+    first = np.minimum(np.maximum(starts - (width - anchor_words(width)), 0), last + 1)
+    steps = np.zeros(last + 2, np.int64)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, np.minimum(starts, last) + 1, -1)
+    rows = np.flatnonzero(np.cumsum(steps)[:-1] > 0)
+    return rows, _digests(tokens, width)[rows]
+
+
+def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, word, digest: windows of ``min_words`` words (by number of the first) around shared anchors."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, words, digests = [], [], []
-            for key, body, stretches in zip(batch["doc_id"], map(_bytes, batch["text"]), batch["stretches"]):
-                found = _word_windows(body, np.array([(s["from"], s["to"]) for s in stretches], np.int64), min_words)
-                ids.extend([key] * len(found[0])), words.extend(found[0]), digests.extend(found[1])
-            yield pd.DataFrame({"doc_id": ids, "word": np.array(words, np.int64), "digest": np.array(digests, np.int64)})
-
-    stretches = candidate_stretches(docs, doc_id, text, reach)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(stretches, "doc_id")
+            none = np.zeros(0, np.int64)
+            ids, words, digests = [], [none], [none]
+            for key, body, starts in zip(batch["doc_id"], map(_bytes, batch["text"]), batch["starts"]):
+                found = _word_windows(word_hashes(body), np.array(starts, np.int64), min_words)
+                ids.extend([key] * len(found[0])), words.append(found[0]), digests.append(found[1])
+            yield pd.DataFrame({"doc_id": ids, "word": np.concatenate(words), "digest": np.concatenate(digests)})
+
+    starts = candidate_anchors(docs, doc_id, text, min_words)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(starts, "doc_id")
     return rows.mapInPandas(of, f"doc_id {kind}, word long, digest long")
 
 
-def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                      reach: int = REACH) -> DataFrame:
+def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, first_word, n_words, first_doc_id, is_first: the maximal runs of repeated windows.
 
     ``first_doc_id`` is the smallest id among the documents that share a window of the run; the passage may stay there.
     Words are `[^\\x20\\x09-\\x0D]+`, case counts. Null and empty texts and null ids have no passages; rows that repeat
     an id are one document. Empty table: no rows. Extra columns are ignored.
     """
-    windows = stored(repeated_windows(docs, doc_id, text, min_words, reach).distinct(), "windows")
+    windows = stored(repeated_windows(docs, doc_id, text, min_words), "windows")
     shared = stored(windows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
         "least <> most").select("digest", "least"), "shared-windows")
     held = windows.join(shared, "digest").groupBy("doc_id", "word").agg(F.min("least").alias("least"))
@@ -170,10 +186,9 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             "doc_id", "first_word", "n_words", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("is_first"))
 
 
-def deduped_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                      reach: int = REACH) -> DataFrame:
+def deduped_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with every passage cut out (white space after its words included) where it is not first."""
-    passages = repeated_passages(docs, doc_id, text, min_words, reach).where(~F.col("is_first")).groupBy(
+    passages = repeated_passages(docs, doc_id, text, min_words).where(~F.col("is_first")).groupBy(
         F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("_cut"))
 
     def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:

@@ -173,3 +173,40 @@ def test_passages_against_brute_force(spark):
     assert kept[2] == " ".join(docs[2]) and kept[8] == "" and kept[20] is None
     assert set(docs[5]) - set(kept[5].split()) >= set(passage) - set(docs[5][:30]) - set(docs[5][90:])
     assert substring_dedup.repeated_passages(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("letters", [1, 2, 8])
+def test_anchors_in_every_passage(letters):
+    rnd = np.random.default_rng(letters)
+    fresh = lambda n: ["".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), letters)) for _ in range(n)]
+    for passage in [fresh(50) for _ in range(300)] + [["x"] * 50, ["x", "y"] * 25]:
+        held = []
+        for _ in range(2):
+            before = fresh(int(rnd.integers(0, 80)))
+            tokens = substring_dedup.word_hashes(" ".join(before + passage + fresh(int(rnd.integers(0, 80)))).encode())
+            starts = substring_dedup.anchor_starts(tokens)
+            held.append({int(k) - len(before) for k in starts if 0 <= k - len(before) <= 50 - substring_dedup.anchor_words(50)})
+        assert held[0] & held[1]
+
+
+def test_rewrapped_and_short_passages_against_the_sql(spark):
+    import duckdb
+    from rotorlens.llm.oracle import SUBSTRINGS
+
+    rnd = np.random.default_rng(9)
+    spaces = [" ", "  ", "\n", "\t", " \r\n", "\x0b", "\x0c "]
+    rows = []
+    for group in range(40):
+        letters = 1 + group % 4
+        fresh = lambda n: ["".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), letters)) for _ in range(n)]
+        passage = fresh(50 + group % 3)
+        for copy in range(2):
+            words = fresh(int(rnd.integers(0, 90))) + passage + fresh(int(rnd.integers(0, 90)))
+            gaps = rnd.choice(spaces, len(words), p=[0.7] + [0.05] * 6)
+            rows.append((2 * group + copy, "".join(w + g for w, g in zip(words, gaps))))
+    rows.append((100, "z " * 120)), rows.append((101, "z\n" * 70))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in substring_dedup.repeated_passages(docs).collect()}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert got == set(con.execute(SUBSTRINGS).fetchall()) and {k for k, *_ in got} == {k for k, _ in rows}
