@@ -382,10 +382,6 @@ def confirmed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- Scaling, models and metrics ---
 
-# Boosting rounds and folds of the registered training runs; the library's defaults are 100 rounds and 5 folds.
-ROUNDS = 10
-
-
 _STAGES: dict[tuple[str, str, str], Any] = {}
 
 
@@ -419,8 +415,7 @@ def _clusters(spark: SparkSession, sf: str) -> tuple[KMeansModel, DataFrame]:
 
 
 def _classifier(spark: SparkSession, sf: str) -> CL.FaultClassifier:
-    return _once("classifier", spark, sf, lambda: CL.fault_classifier_fit(
-        _clusters(spark, sf)[1], MODEL_INPUTS, n_estimators=ROUNDS))
+    return _once("classifier", spark, sf, lambda: CL.fault_classifier_fit(_clusters(spark, sf)[1], MODEL_INPUTS))
 
 
 def _models(spark: SparkSession, sf: str) -> M.Models:
@@ -526,7 +521,7 @@ def fault_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return MT.cv_summary(CL.cross_validate(_clusters(spark, sf)[1], MODEL_INPUTS, n_estimators=ROUNDS))
+    return MT.cv_summary(CL.cross_validate(_clusters(spark, sf)[1], MODEL_INPUTS))
 
 
 def feature_importance_top(spark: SparkSession, sf: str) -> DataFrame:
@@ -537,7 +532,7 @@ def supervised_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Training on confirmed labels, joined by record id, instead of cluster numbers."""
     confirmed = fx.labelled(spark, sf).select("record_id", "label")
     points = _clusters(spark, sf)[1].select("record_id", "x")
-    model = CL.supervised_fit(points, confirmed, MODEL_INPUTS, n_estimators=ROUNDS)
+    model = CL.supervised_fit(points, confirmed, MODEL_INPUTS)
     return model.predict(points).select("record_id", "prediction", "confidence")
 
 

@@ -176,3 +176,24 @@ def test_train_save_load_predict(spark, sf, folder):
     assert np.allclose([sum(p.values()) for p in anomalous.probabilities], 1.0)
     with pytest.raises(ValueError, match="missing columns"):
         M.predict_batch(features.drop("rms"), loaded)
+
+
+def test_registered_training_takes_the_default_rounds(spark, sf, monkeypatch):
+    from rotorlens.operators import classify
+    from rotorlens.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    rounds = []
+
+    def boosted(**options):
+        rounds.append(options["maxIter"])
+        raise Seen
+
+    monkeypatch.setattr(catalog, "_STAGES", {})
+    monkeypatch.setattr(classify, "GBTClassifier", boosted)
+    for query in (catalog.fault_classifier, catalog.cv_summary, catalog.supervised_labels):
+        with pytest.raises(Seen):
+            query(spark, sf)
+    assert set(rounds) == {classify.ESTIMATORS} == {100}
