@@ -12,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Leading parts of a path that are looked up. Deeper ones decide nothing: entries are cut to this depth, too.
-PATH_PARTS = 3
-
 
 def host_of(url: Column) -> Column:
     """Lower-case host without user, port and a final dot; empty if there is none."""
@@ -27,13 +24,14 @@ def path_of(url: Column) -> Column:
         F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/*([^?#]*)", 1))
 
 
-def keys_of(url: Column, path_parts: int = PATH_PARTS) -> Column:
-    """Keys that may carry an entry, without repeats: host and parent domains of two labels or more, host with path."""
+def keys_of(url: Column, path_parts: int | None = None) -> Column:
+    """Keys that may carry an entry, without repeats: host and parent domains of two labels or more, host with each
+    leading part of the path. No entry has more than ``path_parts`` path parts, if that is known; None: all are keys."""
     labels = F.split(host_of(url), r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
                           lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     parts = F.array_remove(F.split(path_of(url), "/"), "")
-    depth = F.least(F.size(parts), F.lit(path_parts))
+    depth = F.size(parts) if path_parts is None else F.least(F.size(parts), F.lit(path_parts))
     paths = F.when(depth > 0, F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda k: F.concat(
         host_of(url), F.lit("/"), F.array_join(F.slice(parts, 1, k), "/")))).otherwise(F.array().cast("array<string>"))
     return F.when(host_of(url) == "", F.array().cast("array<string>")).otherwise(
@@ -55,15 +53,17 @@ def intervals(entries: DataFrame, key: str = "key", since: str = "since", blocke
 
 
 def url_verdicts(captures: DataFrame, entries: DataFrame, capture_id: str = "page_id", url: str = "url",
-                 fetched: str = "fetched_at", path_parts: int = PATH_PARTS) -> DataFrame:
+                 fetched: str = "fetched_at") -> DataFrame:
     """capture_id, fetched_at, key, valid_from, blocked: one row per input row.
 
     ``entries``: key, since, blocked. Captures with a null url, an unreadable one or a null time, and those no entry is
     active for, are not blocked (key null). Rows that repeat an id with the same url and time are judged as one and
     come back as often as they were given. Empty tables: no rows, or nothing blocked. Extra columns are ignored.
+    Paths are looked up as deep as the deepest entry goes, which one count over the entries finds.
     """
+    deepest = entries.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0
     asked = captures.select(F.col(capture_id).alias("capture_id"), F.col(fetched).alias("fetched_at"),
-                            keys_of(F.col(url), path_parts).alias("keys"))
+                            keys_of(F.col(url), deepest).alias("keys"))
     each = asked.groupBy("capture_id", "fetched_at", "keys").agg(F.count("*").cast("int").alias("times"))
     lists = intervals(entries).groupBy("key").agg(F.sort_array(F.collect_list(F.struct(
         "valid_from", "valid_to", "blocked"))).alias("states"))

@@ -78,6 +78,19 @@ def test_url_verdicts_as_of_fetch_time(spark):
     assert {r.page_id for r in url_filters.allowed_captures(pages, entries).collect()} == {1, 4, 5, 8, 9, 10, 11, None}
 
 
+def test_url_verdicts_on_deep_paths(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    entries = spark.createDataFrame([("a.org/1/2/3/4", day(2), True), ("b.org", day(2), True), ("b.org/1/2/3/4/5/6", day(3), False)],
+                                    "key string, since date, blocked boolean")
+    cases = [(1, "http://a.org/1/2/3/4/5", True), (2, "http://a.org/1/2/3", False), (3, "http://a.org/1/2/3/44", False),
+             (4, "http://b.org/1/2/3/4/5/6", False), (5, "http://b.org/1/2/3/4/5", True), (6, "http://a.org//1/2//3/4?x", True)]
+    pages = spark.createDataFrame([(k, u, day(9)) for k, u, _ in cases], "page_id long, url string, fetched_at date")
+    got = {r.capture_id: r.blocked for r in url_filters.url_verdicts(pages, entries).collect()}
+    assert got == {k: b for k, _, b in cases}
+    flat = url_filters.url_verdicts(pages, entries.where("key = 'b.org'"))
+    assert {r.capture_id for r in flat.where("blocked").collect()} == {4, 5}
+
+
 def brute_lines(rows):
     key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
     holders = {}
