@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,22 @@ def stored(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """_row (the whole row), _file, _at: two numbers that no other row has and that stay the same when read again.
+
+    A plain table of files names its rows by file and place. Any other table is stored first, since its rows may come
+    in another order when it is computed again.
+    """
+    if "_metadata" not in df.columns and df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.xxhash64("_metadata.file_path").alias("_file"),
+                             F.col("_metadata.row_index").alias("_at"))
+        except AnalysisException:
+            pass  # a kind of file that doesn't count its rows
+    return stored(df.select(F.struct("*").alias("_row"), F.lit(0).cast("long").alias("_file"),
+                            F.monotonically_increasing_id().alias("_at")), "rows")
+
+
 def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """``df``, to be broadcast if a count of it finds at most ``rows`` narrow rows; otherwise Spark picks the join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rotorlens.llm.common import small, stored, text_of, words
+from rotorlens.llm.common import small, stored, text_of, with_row_key, words
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
@@ -101,22 +101,36 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """doc_id, source, size, source_size, target, copies; one row per input row, and the words taken are copies * size.
 
     Draws are seeded by source and block and made in hash order of the ids, so reruns agree. Null text: size 0. Null
-    source: a source of its own, last in order. Rows that repeat an id are drawn each; null ids are ordered by size.
-    Nothing but empty texts: targets 0. Empty table: no rows. Columns not named here are ignored.
+    source: a source of its own, last in order. Rows that repeat an id, null or not, are drawn each; those of one size
+    are told apart by their place in the table. Nothing but empty texts: targets 0. Empty table: no rows. Columns not
+    named here are ignored.
     """
-    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-                               F.size(words(text_of(text))).cast("long").alias("size")), "sizes")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"),
+                       F.lit(0).cast("long").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    return draws(rows, weights, max_copies, block).drop("_file", "_at")
+
+
+def draws(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, block: int = BLOCK) -> DataFrame:
+    """What ``mix`` returns, with the key of the row. ``rows``: doc_id, source, text, _file, _at (the row's key)."""
+    sized = stored(rows.select("doc_id", F.col("source").cast("string").alias("source"),
+                               F.size(words(text_of("text"))).cast("long").alias("size"), "_file", "_at"), "sizes")
     targets = stored(source_targets(sized, weights, max_copies), "targets", 1)
+    repeated = stored(sized.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.count("*").alias(
+        "_n")).where("_n > 1"), "repeated")
+    told = sized.join(small(repeated), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("size") == F.col("_size")), "left")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = sized.join(small(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).select(
+    # Rows of one id and size have hashes of their own, so that they spread over the blocks of a source.
+    own = F.when(F.col("_n").isNull(), F.xxhash64("doc_id", "size")).otherwise(F.xxhash64("doc_id", "size", "_file", "_at"))
+    joined = told.join(small(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target", F.floor(ratio).alias("sure"),
-        (ratio - F.floor(ratio)).alias("p"), F.xxhash64("doc_id", "size").alias("h"),
-        F.ceil(F.col("source_docs") / block).cast("int").alias("blocks"))
-    fields = "doc_id {}, source string, size long, source_size long, target double, sure long, p double, h long, blocks int"
+        (ratio - F.floor(ratio)).alias("p"), own.alias("h"),
+        F.ceil(F.col("source_docs") / block).cast("int").alias("blocks"), "_file", "_at")
+    fields = ("doc_id {}, source string, size long, source_size long, target double, sure long, p double, h long, blocks int, "
+              "_file long, _at long")
     schema = fields.format(sized.schema["doc_id"].dataType.simpleString())
 
     def fly(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["h", "doc_id", "size"], kind="stable")
+        rows = rows.sort_values(["h", "doc_id", "size", "_file", "_at"], kind="stable")
         size, name = rows["size"].to_numpy(), rows["source"].iloc[0]
         last = rows["blocks"].iloc[0] <= 1
         seed = [zlib.crc32(str(name).encode("utf-8", "surrogatepass")), int(rows["_block"].iloc[0]), len(rows)]
@@ -140,14 +154,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     done = parts[0]
     for part in parts[1:]:
         done = done.unionByName(part)
-    return done.select("doc_id", "source", "size", "source_size", "target",
+    return done.select("doc_id", "source", "size", "source_size", "target", "_file", "_at",
                        (F.col("sure") + F.round("p").cast("long")).alias("copies"))
 
 
-def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, each as often as it is taken. Rows that repeat an id all come as often as the first drawn
-    of them; rows with a null id are not taken."""
-    copies = mix(docs, doc_id, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_key"))
-    return rows.join(copies.where("_copies > 0"), F.col("_key") == F.col("_id")).select(
-        "_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` takes it: rows that repeat an id and rows with a null id, too."""
+    keyed = with_row_key(docs)
+    copies = draws(keyed.select(F.col("_row")[doc_id].alias("doc_id"), F.col("_row")[source].alias("source"), F.col(
+        "_row")[text].alias("text"), "_file", "_at"), **options).where("copies > 0").select("_file", "_at", "copies")
+    return keyed.join(copies, ["_file", "_at"]).select(
+        "_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")

@@ -131,6 +131,25 @@ def test_mix_awkward(spark):
     assert {(r.target, r.copies) for r in mixing.mix(zero).collect()} == {(0.0, 0)}
 
 
+@pytest.mark.parametrize("files", [False, True])
+def test_mixed_documents_take_null_and_repeated_ids_row_by_row(spark, folder, files):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"w{k} " * 4, "a") for k in range(900)]
+    rows += [(10_000 + k, "w " * 100, "b") for k in range(9)] + [(7, "same text here now", "a")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    if files:
+        df.repartition(3).write.parquet(f"{folder}/docs")
+        df = spark.read.parquet(f"{folder}/docs")
+    got = mixing.mixed_documents(df, block=100).toPandas()
+    for name, target in {r.source: r.target for r in mixing.mix(df, block=100).select("source", "target").distinct().collect()}.items():
+        taken = got[got.source == name].text.str.split().str.len().sum()
+        assert abs(taken - target) <= 100 if name == "b" else abs(taken - target) <= 5
+    share = len(got[got.source == "a"]) / 1200
+    assert 0 < share % 1 and got.doc_id.isnull().sum() > 0
+    for part, n in ((got[(got.doc_id == 7)], 600), (got[got.doc_id.isnull()], 300)):
+        assert abs(len(part) / n - share) < 0.1
+    assert mixing.mixed_documents(df.limit(0)).count() == 0
+
+
 def test_encoder_equals_the_plain_tokenizer():
     rnd = random.Random(7)
     parts = [" ", " ", "  ", "\n", "\t", "a", "b'", "'ll", "x's.", "1", "²", "é", "\x1c", "!", "<|endoftext|>", "\r", "_", "日本", "🙂", "ab.", "c,,'"]
