@@ -16,14 +16,14 @@ tasks of bounded size. A leaf emits a spanning forest of its links, not all pair
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rotorlens.llm.common import parts_for, stored
+from rotorlens.llm.common import parts_for, stored, with_row_key
 from rotorlens.llm.components import connected_components
 
 SHINGLE = 3
@@ -58,13 +58,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                 seed: int = SEED) -> DataFrame:
-    """doc_id, fp (signed 64 bits), one row per input row, from whole texts."""
+                 seed: int = SEED, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, fp (signed 64 bits) and the columns to keep, one row per input row, from whole texts."""
 
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(x, shingle, seed) for x in texts], dtype="int64")
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(of, "long")(F.col(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(of, "long")(F.col(text)).alias("fp"), *keep)
 
 
 def _half(fp: np.ndarray, tree: int) -> np.ndarray:
@@ -171,19 +171,19 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, leaf_size: int = LEAF, blo
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest id reachable over links), one row per input row.
+                    max_bits: int = MAX_BITS, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, fp, component_id (the smallest id reachable over links) and the columns to keep, one row per input row.
 
     Texts without words, null or empty, have fingerprint zero and are linked like any other. Rows with a null id link
     nothing; they get the component of their fingerprint, null if nobody else has it. Rows that repeat an id are
     fingerprinted each. Empty table: no rows. Columns not named here are ignored.
     """
-    prints = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    prints = stored(fingerprints(docs, doc_id, text, shingle, keep=keep), "fingerprints")
     nodes = stored(prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")), "prints")
     # A repeated id with two texts is one node of two fingerprints: its rows are reachable from each other by id.
     components = connected_components(links(nodes, max_bits))
     labelled = nodes.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(labelled, "fp", "left").select("doc_id", "fp", "component_id")
+    return prints.join(labelled, "fp", "left").select("doc_id", "fp", "component_id", *keep)
 
 
 def fingerprint_hex(column: str = "fp"):
@@ -191,7 +191,15 @@ def fingerprint_hex(column: str = "fp"):
 
 
 def deduped_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id. Rows with a null id stay."""
-    found = near_duplicates(docs, doc_id, text, **options)
-    gone = found.where(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    """``docs`` with one row of each group: one that has the smallest id, however often that is stored.
+
+    Rows with a null id go where their fingerprint has a group; where it has none, one row of each fingerprint stays.
+    """
+    keyed = with_row_key(docs)
+    found = near_duplicates(keyed.select(F.col("_row")[doc_id].alias("doc_id"), F.col("_row")[text].alias("text"), "_file", "_at"),
+                            keep=("_file", "_at"), **options)
+    # Counted map-side: a group with very many rows is one row per task here.
+    chosen = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).groupBy(
+        "component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp")).agg(
+            F.min(F.struct("_file", "_at")).alias("k")).select("k._file", "k._at")
+    return keyed.join(chosen, ["_file", "_at"], "left_semi").select("_row.*")

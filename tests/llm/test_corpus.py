@@ -70,6 +70,19 @@ def test_near_duplicates_awkward(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("files", [False, True])
+def test_one_row_of_each_group_stays(spark, folder, files):
+    text = {c: " ".join(f"{c}{k}" for k in range(30)) for c in "abcd"}
+    rows = [(5, text["a"])] * 40 + [(6, text["a"])] * 3 + [(None, text["a"])] * 2 + [(1, text["b"]), (2, text["c"]), (2, text["c"])]
+    rows += [(None, text["d"])] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if files:
+        df.repartition(3).write.parquet(f"{folder}/docs")
+        df = spark.read.parquet(f"{folder}/docs")
+    got = [(r.doc_id, r.text[0]) for r in simhash.deduped_documents(df).collect()]
+    assert len(got) == 4 and set(got) == {(5, "a"), (1, "b"), (2, "c"), (None, "d")}
+
+
 def test_components_of_a_long_path(spark):
     rnd = random.Random(1)
     order = rnd.sample(range(300), 300)
