@@ -17,9 +17,10 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 DIGITS = 7
-#: A rate is too high above: upper quartile + FENCE * max(interquartile range, least spread of that rate).
-FENCE = 6
-LEAST_SPREAD = {"symbol_rate": 20, "upper_rate": 150, "dup_line_rate": 60, "repeat_rate": 50, "length_rate": 700}
+#: A rate is too high above: upper quartile + FENCE * max(interquartile range, least spread of that rate). The least
+#: spreads only keep a group without any spread from rejecting the first odd word or line; all else is the sketches'.
+FENCE = 3
+LEAST_SPREAD = {"symbol_rate": 10, "upper_rate": 50, "dup_line_rate": 20, "repeat_rate": 20, "length_rate": 300}
 
 
 def repeated_words(tokens: Column, width: int = WINDOW) -> Column:

@@ -59,6 +59,17 @@ def test_outliers_are_rejected_and_clean_documents_stay(spark):
     assert kept == set(range(60))
 
 
+def test_repeats_below_the_base_rule_are_judged_by_their_group(spark):
+    fresh = lambda k, n: " ".join(f"word{1000 * k + j}" for j in range(100, 100 + n))
+    clean = [(k, fresh(k, 100), "en", "clean") for k in range(60)]
+    often = [(100 + k, f"{fresh(k, 80)} {fresh(900, 10)} {fresh(900, 10)}", "en", "often") for k in range(60)]
+    odd = [(200, f"{fresh(300, 80)} {fresh(901, 10)} {fresh(901, 10)}", "en", "clean")]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(
+        clean + often + odd, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[200].n_repeat_words == got[100].n_repeat_words == 20 and not got[200].base_failed
+    assert {k for k, r in got.items() if not r.kept} == {200}
+
+
 def test_url_verdicts_as_of_fetch_time(spark):
     day = lambda n: datetime.date(2024, 1, n)
     entries = spark.createDataFrame([
