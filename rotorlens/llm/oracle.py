@@ -98,7 +98,24 @@ runs AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FRO
 SELECT doc_id, min(pos)::BIGINT AS first_word, (max(pos) - min(pos) + 50)::BIGINT AS n_words, min(least) AS first_doc_id,
     doc_id = min(least) AS is_first FROM runs GROUP BY doc_id, run"""
 
+LEXICAL_SEARCH = r"""WITH term AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY item_id, term),
+held AS (SELECT doc_id, term, count(*) AS tf FROM term GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM term GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+sized AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM lengths, total),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, total
+    WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN sized USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20"""
+
 ORACLE = {
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op2_url_filters": URL_FILTERS,
     "op6_substring_dedup": SUBSTRINGS,
     "op1_quality_rules": _quality_rules(),

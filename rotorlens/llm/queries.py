@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import line_dedup, mixing, neighbours, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_files, url_filters
+from rotorlens.llm import importance, lexical_search, line_dedup, mixing, neighbours, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_files, url_filters
 from rotorlens.llm.common import shared_folder, table
 
 
@@ -83,6 +83,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(token_files.digests(token_files.read_tokens(spark, path)))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -94,4 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_token_files": op10_token_files,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_importance_resampling": op12_importance_resampling,
 }

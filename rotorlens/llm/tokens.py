@@ -160,13 +160,13 @@ def encoder(description: str) -> Encoder:
     return held["encoder"]
 
 
-def slices(texts: pa.Array, characters: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about so many bytes."""
+def slices(texts: pa.Array, characters: int = 2_000_000, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about so many bytes, and at most ``rows`` texts."""
     lengths = pc.binary_length(texts).fill_null(0).to_pylist()
     start, held = 0, 0
     for k, length in enumerate(lengths):
         held += length
-        if held >= characters:
+        if held >= characters or k + 1 - start >= rows:
             yield start, k + 1
             start, held = k + 1, 0
     if start < len(lengths):
