@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.llm import importance, lexical_search, line_dedup, mixing, neighbours, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_files, url_filters
+from rotorlens.llm import importance, language_model, lexical_search, line_dedup, mixing, neighbours, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_files, url_filters
 from rotorlens.llm.common import shared_folder, table
 
 
@@ -91,6 +91,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -104,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
     "op11_lexical_search": op11_lexical_search,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_language_model": op13_language_model,
 }
