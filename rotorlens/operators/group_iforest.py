@@ -68,7 +68,7 @@ def group_forest_fit(
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         chosen = group.sort_values(["draw", "_id"]).head(max_samples)
-        grown = grow_tree(np.stack(chosen["_x"].to_numpy()), np.random.default_rng([seed, int(key[-1])]))
+        grown = grow_tree(np.stack(chosen["_x"].to_numpy()), f"{seed}:{int(key[-1])}")
         return pd.DataFrame([[*key, *grown.values()]], columns=[*by, "tree", *grown])
 
     key_types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)

@@ -1,12 +1,14 @@
 """Isolation forest (Liu, Ting, Zhou 2008) on Spark.
 
 Sampling, tree building and scoring are distributed; only the finished trees (at most 511 nodes each) reach the
-driver. The sub-sample of each tree depends on the record ids and the seed alone, so a different partitioning gives
-the same forest.
+driver. Nothing is drawn at run time: MD5 digests of the seed, the tree and the record id decide the sub-samples, and
+those of the seed, the tree and the node decide its feature and its cut. So a different partitioning, or plain SQL,
+gives the same forest.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -35,8 +37,18 @@ def average_path(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, np.ndarray]:
-    """One random tree as parallel node arrays. Leaves point at themselves and carry the path length."""
+def node_draw(name: str, node: int) -> tuple[int, float]:
+    """A number that picks the feature and one in [0, 1) that places the cut of a node; the root is 1."""
+    digest = hashlib.md5(f"{name}:{node}".encode()).hexdigest()
+    return int(digest[13:21], 16), int(digest[:13], 16) / 2.0 ** 52
+
+
+def grow_tree(x: np.ndarray, name: str) -> dict[str, np.ndarray]:
+    """One random tree as parallel node arrays. Leaves point at themselves and carry the path length.
+
+    A node takes one of the features that vary in it; all cuts between their smallest and largest value are equally
+    likely. ``name`` names the tree.
+    """
     limit = math.ceil(math.log2(max(len(x), 2)))
     feature, split, left, right, depth, size = [], [], [], [], [], []
 
@@ -46,24 +58,25 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, np.ndarray]:
             column.append(value)
         return node
 
-    pending = [(add(0, len(x)), np.arange(len(x)))]
+    pending = [(add(0, len(x)), 1, np.arange(len(x)))]
     while pending:
-        node, rows = pending.pop()
+        node, number, rows = pending.pop()
         if depth[node] >= limit or len(rows) < 2:
             continue
         low, high = x[rows].min(axis=0), x[rows].max(axis=0)
         candidates = np.flatnonzero(high > low)
         if not len(candidates):
             continue
-        f = int(rng.choice(candidates))
-        cut = float(rng.uniform(low[f], high[f]))
+        pick, place = node_draw(name, number)
+        f = int(candidates[pick % len(candidates)])
+        cut = float(low[f] + place * (high[f] - low[f]))
         goes_left = x[rows, f] <= cut
         if goes_left.all():  # the draw hit the maximum
             continue
         feature[node], split[node] = f, cut
         left[node] = add(depth[node] + 1, int(goes_left.sum()))
         right[node] = add(depth[node] + 1, int((~goes_left).sum()))
-        pending += [(right[node], rows[~goes_left]), (left[node], rows[goes_left])]
+        pending += [(right[node], 2 * number + 1, rows[~goes_left]), (left[node], 2 * number, rows[goes_left])]
     return {
         "feature": np.array(feature, np.int32), "split": np.array(split), "left": np.array(left, np.int32),
         "right": np.array(right, np.int32), "path": np.array(depth, float) + average_path(np.array(size)),
@@ -162,20 +175,29 @@ def unit_hash(*columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2 ** 53))
 
 
+def unit_digest(*parts: Column) -> Column:
+    """The first 52 bits of the MD5 of the parts, joined by colons, as a number in [0, 1)."""
+    named = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(named, 1, 13), 16, 10).cast("double") / F.lit(2.0 ** 52)
+
+
 def tree_samples(df: DataFrame, rows: int, trees: int, sub_sample: int, record_id: str, x: str, seed: int) -> DataFrame:
     """About ``POOL_FACTOR * sub_sample`` candidate rows per tree, few enough to shuffle whatever the table's size.
 
-    A first hash keeps a pool of the table, a second one draws candidates per tree; the tree then takes the
-    ``sub_sample`` smallest hashes among them.
+    A first digest keeps a pool of the table, a second one draws candidates per tree; the tree then takes the
+    ``sub_sample`` smallest digests among them. Rows that repeat an id and its values are drawn one by one, as copies
+    1, 2, and so on; no more copies than a sub-sample has rows.
     """
     pool_rows = POOL_FACTOR * sub_sample * trees
     share = min(1.0, pool_rows / max(rows, 1))
     pool = df.select(F.col(record_id).alias("_id"), F.col(x).alias("x"))
     if share < 1.0:
-        pool = pool.filter(unit_hash(F.lit(seed), F.col("_id")) < share)
+        pool = pool.filter(unit_digest(F.lit(seed), F.col("_id")) < share)
+    copies = pool.groupBy("_id", "x").agg(F.count("*").alias("_n")).select(
+        "_id", "x", F.explode(F.sequence(F.lit(1), F.least(F.col("_n"), F.lit(sub_sample)).cast("int"))).alias("_copy"))
     cut = min(1.0, POOL_FACTOR * sub_sample / max(rows * share, 1.0))
-    draw = unit_hash(F.lit(seed), F.col("tree"), F.col("_id"))
-    return (pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    draw = unit_digest(F.lit(seed), F.col("tree"), F.col("_id"), F.col("_copy"))
+    return (copies.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
             .withColumn("draw", draw).filter(F.col("draw") < cut))
 
 
@@ -183,18 +205,21 @@ def isolation_forest_fit(
     df: DataFrame, contamination: float, trees: int = TREES, max_samples: int = SUB_SAMPLE, seed: int = 42,
     record_id: str = "record_id", x: str = "x", rows: int | None = None,
 ) -> IsolationForest:
-    """Fit on an array column. The threshold is the contamination quantile of the training scores."""
+    """Fit on an array column. The threshold is the contamination quantile of the training scores.
+
+    A tree for which fewer candidates than a sub-sample were drawn (an id with very many copies may cause it) grows on
+    those.
+    """
     rows = df.count() if rows is None else rows
     sub_sample = min(max_samples, rows)
     samples = tree_samples(df, rows, trees, sub_sample, record_id, x, seed)
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        chosen = group.sort_values(["draw", "_id"]).head(sub_sample)
-        if len(chosen) < sub_sample:
-            raise ValueError(f"tree {key[0]}: {len(chosen)} candidates for a sub-sample of {sub_sample}")
-        nodes = grow_tree(np.stack(chosen["x"].to_numpy()), np.random.default_rng([seed, int(key[0])]))
+        chosen = group.sort_values(["draw", "_id", "_copy"]).head(sub_sample)
+        nodes = grow_tree(np.stack(chosen["x"].to_numpy()), f"{seed}:{int(key[0])}")
         return pd.DataFrame({"tree": key[0], "node": np.arange(len(nodes["feature"])), **nodes})
 
+    # A group holds the candidates of one tree: about ``POOL_FACTOR`` sub-samples.
     placed = samples.repartition(busy_partitions(df.sparkSession), "tree")
     nodes = placed.groupBy("tree").applyInPandas(build, _NODE_SCHEMA).toPandas().sort_values(["tree", "node"])
     grown = [{c: g[c].to_numpy() for c in ("feature", "split", "left", "right", "path")}

@@ -302,10 +302,52 @@ def _scale(columns: list[str], centre: str, scale: str) -> str:
     return ", ".join(parts)
 
 
+MOMENTS = f"""kept AS MATERIALIZED (SELECT * FROM features),
+  m AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in MODEL_INPUTS_SQL)} FROM kept)"""
+SCALED = f"""{MOMENTS}, scaled AS MATERIALIZED (SELECT record_id, [{', '.join(
+    f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END" for c in MODEL_INPUTS_SQL)}] AS x FROM kept, m)"""
+
+
+def _path(n: str) -> str:
+    return (f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE "
+            f"WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
+
+
+def _forest(trees: int = 100, sub_sample: int = 256, seed: int = 42) -> str:
+    """The forest level by level: sub-samples by digest, per node the ranges of the features, a cut by digest; then all
+    records through all levels."""
+    levels = (sub_sample - 1).bit_length()
+    unit = lambda text: f"('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
+    features = range(1, len(MODEL_INPUTS_SQL) + 1)
+    steps, walk = [], []
+    for k in range(levels):
+        steps.append(f"""n{k} AS MATERIALIZED (SELECT tree, node, count(*) AS n, [{', '.join(f'min(x[{f}])' for f in features)}] AS lo,
+    [{', '.join(f'max(x[{f}])' for f in features)}] AS hi FROM s{k} GROUP BY tree, node),
+  c{k} AS (SELECT *, list_filter(range(1, {len(features) + 1}), lambda f: hi[f] > lo[f]) AS open,
+    md5('{seed}:' || tree || ':' || node) AS h FROM n{k} WHERE n > 1),
+  f{k} AS (SELECT *, open[1 + ('0x' || substr(h, 14, 8))::BIGINT % len(open)] AS f,
+    ('0x' || substr(h, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM c{k} WHERE len(open) > 0),
+  p{k} AS MATERIALIZED (SELECT tree, node, f, lo[f] + u * (hi[f] - lo[f]) AS cut FROM f{k} WHERE lo[f] + u * (hi[f] - lo[f]) < hi[f]),
+  s{k + 1} AS MATERIALIZED (SELECT s.tree, record_id, x, 2 * s.node + CASE WHEN x[f] <= cut THEN 0 ELSE 1 END AS node
+    FROM s{k} s JOIN p{k} p ON s.tree = p.tree AND s.node = p.node)""")
+        walk.append(f"""w{k + 1} AS (SELECT w.tree, record_id, x, CASE WHEN f IS NULL THEN w.node WHEN x[f] <= cut THEN 2 * w.node
+    ELSE 2 * w.node + 1 END AS node FROM w{k} w LEFT JOIN p{k} p ON w.tree = p.tree AND w.node = p.node)""")
+    sizes = " UNION ALL ".join(f"SELECT tree, node, n, {k} AS depth FROM n{k}" for k in range(levels + 1))
+    return f"""{FEATURES}, {SCALED},
+  s0 AS MATERIALIZED (SELECT tree, record_id, x, 1 AS node FROM scaled, range({trees}) r(tree)
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {unit(f"'{seed}:' || tree || ':' || record_id || ':1'")}, record_id) <= {sub_sample}),
+  {', '.join(steps)}, n{levels} AS (SELECT tree, node, count(*) AS n FROM s{levels} GROUP BY tree, node),
+  sizes AS MATERIALIZED ({sizes}),
+  w0 AS (SELECT tree, record_id, x, 1 AS node FROM scaled, range({trees}) r(tree)), {', '.join(walk)},
+  rated AS (SELECT record_id, -power(2.0::DOUBLE, -avg(depth + {_path('n')}) / ({_path(str(sub_sample))})) AS anomaly_score
+    FROM w{levels} w JOIN sizes z ON w.tree = z.tree AND w.node = z.node GROUP BY record_id)"""
+
+
 ORACLE.update({
-    "standard_scale": f"""{FEATURES}, m AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in MODEL_INPUTS_SQL)}
-          FROM features)
-        SELECT record_id, {_scale(MODEL_INPUTS_SQL, 'm_{c}', 's_{c}')} FROM features, m""",
+    "standard_scale": f"""{FEATURES}, {MOMENTS}
+        SELECT record_id, {_scale(MODEL_INPUTS_SQL, 'm_{c}', 's_{c}')} FROM kept, m""",
+    "iforest_scores": f"""{_forest()}
+        SELECT record_id, round(anomaly_score, 6) + 0.0::DOUBLE AS anomaly_score FROM rated""",
     "robust_scale": f"""{FEATURES}, m AS (SELECT {', '.join(
         f'quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}' for c in SPECTRAL_FEATURES)}
           FROM features)
