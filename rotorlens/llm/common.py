@@ -30,14 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, files: int | None = None, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: it survives lost executors and cuts the lineage.
 
     At most ``files`` files are written (by default twice the cores), not one per shuffle partition: every file costs
     calls to the file system, and many small ones would slow down the readers.
     """
     path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.coalesce(files or 2 * df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
+    df.coalesce(files or 2 * df.sparkSession.sparkContext.defaultParallelism).write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

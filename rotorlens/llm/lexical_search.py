@@ -232,7 +232,7 @@ def search_index(index: DataFrame, items: DataFrame, best: int = BEST, item_id:
         part = asked.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).select("item", "text").collect()  # one block
         texts = [(r.item, terms_of(r.text)) for r in sorted(part)]
         if any(terms for _, terms in texts):
-            hits = stored(_search_block(index, texts, total.documents, total.terms, best), "hits")
+            hits = stored(_search_block(index, texts, total.documents, total.terms, best), "hits", files=1 << 20)
             found = hits if found is None else found.unionByName(hits)
     kind = index.schema["doc_id"].dataType.simpleString()
     if found is None:

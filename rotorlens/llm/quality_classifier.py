@@ -182,10 +182,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text in the column ``name``; null counts as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # of a fixed size
+    # Numbers and arrays of a fixed size. Broadcasts name classes instead of carrying them, so workers would need ours.
+    shared = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.factors))
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        features, model = Features(), shared.value
+        features, model = Features(), Machine(*shared.value)
         for texts in batches:
             margins = np.array([model.margin(*features.of(x)) for x in texts], float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(margins, -30, 30))))

@@ -13,7 +13,6 @@ import string
 import sys
 import types
 from array import array
-from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 END_ID = 0
 #: Pieces in each of the two generations that a worker remembers, and their longest length in characters.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 PIECE_CHARS = 64
 ENCODED_AT_ONCE = 5000
 
@@ -54,24 +53,9 @@ _SPELLED = _spelling()
 _SPACE = _SPELLED[0x20]
 
 
-class _Known(dict):
-    """Ids by piece. A piece that was known in the generation before is taken over; one that is new is noted down."""
-
-    def __init__(self, older: dict[str, bytes]):
-        super().__init__()
-        self.older, self.new = older, set()
-
-    def __missing__(self, piece: str) -> bytes | None:
-        ids = self.older.get(piece)
-        if ids is None:
-            self.new.add(piece)
-        else:
-            self[piece] = ids
-        return ids
-
-
 class Encoder:
-    """Texts to ids as bytes (little-endian, unsigned, 32 bits each). Strings of special tokens are ordinary text."""
+    """Texts to ids as bytes (little-endian, unsigned, 32 bits each), as the plain tokenizer gives them: where a text
+    holds the string of an added token, its id stands for it. Such texts are encoded whole."""
 
     #: A space between two white-space characters, or between one and the end.
     _joined = re.compile(r" (?=\s|\Z)(?<=\s.)", re.DOTALL)
@@ -80,9 +64,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(description)
-        self._tokenizer.encode_special_tokens = True
         self._by_piece = splits_at_spaces(description)
-        self._known = _Known({})
+        added = [token["content"] for token in json.loads(description).get("added_tokens") or []]
+        self._whole = re.compile("|".join([self._joined.pattern, *map(re.escape, filter(None, added))]), re.DOTALL)
+        #: Ids by piece, in two generations: what the younger one misses is taken over from the older one.
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._tails: dict[str, bytes] = {}
         self._model = self._tokenizer.model
 
@@ -102,54 +89,56 @@ class Encoder:
             found.update(zip(part, self._encode([" " + x for x in part])))
         return found
 
-    def _learn(self) -> dict[str, bytes]:
-        """Ids of the pieces noted down; those too long to be remembered are returned.
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the younger generation doesn't hold. Those short enough are remembered.
 
         Letters followed by ASCII punctuation are two tokens of the splitting rule, so a piece of that kind is put
         together from its letters and its punctuation.
         """
-        known, ends, heads = self._known, [], set()
-        for x in known.new:
+        older = self._older
+        found = {x: older[x] for x in new if x in older}
+        new = new - found.keys()
+        ends, heads = [], set()
+        for x in new:
             head = x.rstrip(string.punctuation)
             if len(head) < len(x) and head.isalpha():
                 ends.append((x, head, x[len(head):]))
                 heads.add(head)
+        known = self._known
         apart = {x for x, _, _ in ends}
-        known.new -= apart
-        known.new.update(head for head in heads if known[head] is None)  # noted down once more where new
-        found = self._encode_pieces(list(known.new))
+        found.update(self._encode_pieces(list((new - apart) | {h for h in heads if h not in known and h not in found})))
         if len(self._tails) > REMEMBERED:
             self._tails.clear()
         tails = list({tail for _, _, tail in ends} - self._tails.keys())
         self._tails.update(zip(tails, self._encode(tails)))
         for x, head, tail in ends:
             found[x] = (known.get(head) or found[head]) + self._tails[tail]
-        known.new.clear()
-        known.update(found)
-        return {x: found[x] for x in found if len(x) > PIECE_CHARS}
+        known.update((x, ids) for x, ids in found.items() if len(x) <= PIECE_CHARS)
+        return found
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text is empty."""
         if len(self._known) > REMEMBERED:
-            self._known.older = {}
-            self._known = _Known(dict(self._known))
-        whole, heads, pieces = {}, {}, {}
-        look = self._known.__getitem__
+            self._older, self._known = self._known, {}
+        whole, heads, pieces, missing = {}, {}, {}, {}
+        look = self._known.get
         for k, text in enumerate(texts):
             text = text or ""
-            if self._by_piece and not self._joined.search(text):
+            if self._by_piece and not self._whole.search(text):
                 first, *rest = text.split(" ")
-                deque(map(look, rest), maxlen=0)
-                heads[k], pieces[k] = first, rest
+                heads[k], pieces[k] = first, (ids := list(map(look, rest)))
+                if None in ids:
+                    missing[k] = [(at, rest[at]) for at, x in enumerate(ids) if x is None]
             else:
                 whole[k] = text
-        long = self._learn()
+        found = self._learn({x for gaps in missing.values() for _, x in gaps})
+        for k, gaps in missing.items():
+            ids = pieces[k]
+            for at, x in gaps:
+                ids[at] = found[x]
         heads = dict(zip(heads, self._encode(list(heads.values()))))
         whole = dict(zip(whole, self._encode(list(whole.values()))))
-        coded = [whole[k] if k in whole else heads[k] + b"".join(map(look, pieces[k])) for k in range(len(texts))]
-        for x in long:
-            del self._known[x]
-        return coded
+        return [whole[k] if k in whole else heads[k] + b"".join(pieces[k]) for k in range(len(texts))]
 
 
 def encoder(description: str) -> Encoder:

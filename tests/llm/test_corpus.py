@@ -21,7 +21,6 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 def plain_ids(texts):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     return [np.array([*x.ids, 0], "<u4") for x in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
