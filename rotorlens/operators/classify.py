@@ -1,21 +1,17 @@
-"""Multi-class gradient boosting: one binary boosted model per class, probabilities normalised to sum 1."""
+"""Fault classifier: multinomial gradient boosting, its stratified cross-validation and training on confirmed labels."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlens.operators.metrics import cv_summary as summarise
+from rotorlens.operators.boosting import BINS, Ensemble, boost
 from rotorlens.operators.sampling import hash_rank
-from rotorlens.session import training_partitions
+from rotorlens.session import materialise
 
 ESTIMATORS = 100
 LEARNING_RATE = 0.1
@@ -25,87 +21,64 @@ FOLDS = 5
 
 @dataclass(frozen=True)
 class FaultClassifier:
-    """Binary models in class order. All prediction work stays in the JVM."""
+    """One softmax model over all classes; its probabilities sum to 1."""
 
-    classes: tuple[int, ...]
-    models: tuple[GBTClassificationModel | None, ...]
+    model: Ensemble
     columns: tuple[str, ...]
 
+    @property
+    def classes(self) -> tuple[int, ...]:
+        return self.model.classes
+
     def predict(self, df: DataFrame, x: str = "x", only: Column | None = None) -> DataFrame:
         """Add ``probability`` (array in class order), ``prediction`` and ``confidence``.
 
-        Rows where ``only`` is not true get nulls. The models then run in a branch of a CASE, for the other rows only,
-        and the plan stays a single pass over ``df``.
+        Rows where ``only`` is not true get nulls: the model gets no values for them, and the plan stays a single pass
+        over ``df``. Equal probabilities: the first class.
         """
-        if len(self.classes) == 1:
-            shares, out = F.array(F.lit(1.0)), df
-        else:
-            out = df.withColumn("_features", array_to_vector(F.col(x)))
-            for c, model in zip(self.classes, self.models):
-                out = model.transform(out)
-            shares = F.array(*[vector_to_array(F.col(f"_p_{c}"))[1] for c in self.classes])
-        if only is not None:
-            shares = F.when(only, shares)
-        total = F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p)
-        out = out.select(*df.columns, shares.alias("_p"))
-        out = out.select(*df.columns, F.transform("_p", lambda p: F.try_divide(p, total)).alias("probability"))
+        given = F.col(x) if only is None else F.when(only, F.col(x))
+        out = df.withColumn("probability", self.model.probability_column(given))
         best = F.array_max("probability")
         index = F.array_position("probability", best).cast("int")
         chosen = F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), index)
-        return out.withColumns({
-            "confidence": best if only is None else F.when(only, best),
-            "prediction": chosen if only is None else F.when(only, chosen)})
+        # Spark takes an element of a literal array to be there, even at an unknown place.
+        return out.withColumns({"confidence": best, "prediction": F.when(F.col("probability").isNotNull(), chosen)})
 
     def importances(self) -> np.ndarray:
-        """Mean impurity importance over the binary models, normalised."""
-        fitted = [m.featureImportances.toArray() for m in self.models if m is not None]
-        mean = np.mean(fitted, axis=0) if fitted else np.zeros(len(self.columns))
-        return mean / mean.sum() if mean.sum() > 0 else mean
+        """Share of each feature in the reductions of squared error of all trees."""
+        return self.model.importances(len(self.columns))
 
     def importance_table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, float(v)) for c, v in zip(self.columns, self.importances())]
         return spark.createDataFrame(rows, "feature string, importance double")
 
-    def save(self, path: str) -> None:
-        for c, model in zip(self.classes, self.models):
-            if model is not None:
-                model.write().overwrite().save(f"{path}/class_{c}")
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """All trees, a row per node."""
+        return self.model.to_frame(spark)
+
+    def save(self, path: str, spark: SparkSession) -> None:
+        self.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(path)
 
     @staticmethod
-    def load(path: str, classes: Sequence[int], columns: Sequence[str]) -> FaultClassifier:
-        models = tuple(_named(GBTClassificationModel.load(f"{path}/class_{c}"), c) if len(classes) > 1 else None
-                       for c in classes)
-        return FaultClassifier(tuple(classes), models, tuple(columns))
+    def load(spark: SparkSession, path: str, columns: Sequence[str]) -> FaultClassifier:
+        return FaultClassifier(Ensemble.from_frame(spark.read.parquet(path)), tuple(columns))
 
 
-def _named(model: GBTClassificationModel, c: int) -> GBTClassificationModel:
-    return (model.setFeaturesCol("_features").setRawPredictionCol(f"_raw_{c}").setProbabilityCol(f"_p_{c}")
-            .setPredictionCol(f"_label_{c}"))
+def _classes(df: DataFrame, label: str) -> list[int]:
+    found = df.select(F.col(label).cast("int").alias("c")).where("c is not null").distinct().orderBy("c")
+    return [r["c"] for r in found.collect()]  # a few classes
 
 
 def fault_classifier_fit(
     df: DataFrame, columns: Sequence[str], label: str = "label", x: str = "x", n_estimators: int = ESTIMATORS,
-    learning_rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42, parallel: int = 4,
+    learning_rate: float = LEARNING_RATE, depth: int = DEPTH, bins: int = BINS,
 ) -> FaultClassifier:
-    """Fit on an array column and an integer label. The input should be cached or a stored table."""
-    classes = [r[0] for r in df.select(F.col(label).cast("int")).distinct().orderBy(1).collect()]  # a few classes
-    if len(classes) == 1:
-        return FaultClassifier(tuple(classes), (None,), tuple(columns))
-    base = training_partitions(
-        df.select(array_to_vector(F.col(x)).alias("_features"), F.col(label).cast("int").alias("_class")))
-    base.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(c: int) -> GBTClassificationModel:
-        gbt = GBTClassifier(featuresCol="_features", labelCol="_target", maxIter=n_estimators, stepSize=learning_rate,
-                            maxDepth=depth, seed=seed)
-        return _named(gbt.fit(base.withColumn("_target", (F.col("_class") == c).cast("double"))), c)
-
-    try:
-        with ThreadPool(min(parallel, len(classes))) as pool:
-            models = pool.map(inheritable_thread_target(df.sparkSession)(fit), classes)
-    finally:
-        base.unpersist()
-    return FaultClassifier(tuple(classes), tuple(models), tuple(columns))
+    """Fit on an array column and an integer label; rows without a label are left out. The input should be a stored
+    table. A single class gets probability 1."""
+    classes = _classes(df, label)
+    rounds = n_estimators if len(classes) > 1 else 0
+    models, _ = boost(df, classes, label, x, len(columns), rounds, learning_rate, depth, bins=bins)
+    return FaultClassifier(models[-1], tuple(columns))
 
 
 def stratified_folds(df: DataFrame, label: str = "label", folds: int = FOLDS, seed: int = 42,
@@ -115,37 +88,30 @@ def stratified_folds(df: DataFrame, label: str = "label", folds: int = FOLDS, se
     return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank")
 
 
-def cross_validate(
+def fit_and_validate(
     df: DataFrame, columns: Sequence[str], label: str = "label", x: str = "x", folds: int = FOLDS, seed: int = 42,
-    record_id: str = "record_id", parallel_folds: int = 3, **fit_options,
-) -> DataFrame:
+    record_id: str = "record_id", n_estimators: int = ESTIMATORS, learning_rate: float = LEARNING_RATE, depth: int = DEPTH,
+    bins: int = BINS,
+) -> tuple[FaultClassifier, DataFrame]:
+    """The classifier of all rows, and ``fold, accuracy, rows`` of the models that left one fold out each; all of them
+    are grown by the same jobs."""
+    placed = materialise(stratified_folds(df.select(record_id, label, x), label, folds, seed, record_id), "folds")
+    classes = _classes(placed, label)
+    rounds = n_estimators if len(classes) > 1 else 0
+    models, judged = boost(placed, classes, label, x, len(columns), rounds, learning_rate, depth, "fold", folds, bins)
+    scores = judged.groupBy("fold").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+                                        F.count("*").alias("rows"))
+    return FaultClassifier(models[-1], tuple(columns)), materialise(scores, "fold-scores")
+
+
+def cross_validate(df: DataFrame, columns: Sequence[str], label: str = "label", x: str = "x", folds: int = FOLDS, seed: int = 42,
+                   record_id: str = "record_id", **fit_options) -> DataFrame:
     """Accuracy per fold: ``fold, accuracy, rows``."""
-    spark = df.sparkSession
-    placed = stratified_folds(df.select(record_id, label, x), label, folds, seed, record_id)
-    placed.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def rate(fold: int) -> tuple[int, float, int]:
-        model = fault_classifier_fit(placed.filter(F.col("fold") != fold), columns, label, x, seed=seed, **fit_options)
-        row = model.predict(placed.filter(F.col("fold") == fold), x).agg(
-            F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"),
-            F.count("*").alias("rows")).first()
-        return fold, row["accuracy"], row["rows"]
-
-    try:
-        placed.count()
-        with ThreadPool(min(parallel_folds, folds)) as pool:
-            results = pool.map(inheritable_thread_target(spark)(rate), range(folds))
-    finally:
-        placed.unpersist()
-    return spark.createDataFrame(results, "fold int, accuracy double, rows long")
-
-
-def cv_summary(folds: DataFrame) -> DataFrame:
-    return summarise(folds)
+    return fit_and_validate(df, columns, label, x, folds, seed, record_id, **fit_options)[1]
 
 
 def supervised_fit(features: DataFrame, confirmed: DataFrame, columns: Sequence[str], label: str = "label",
                    x: str = "x", record_id: str = "record_id", **fit_options) -> FaultClassifier:
     """Train on confirmed labels, joined by record id, instead of cluster numbers."""
     joined = features.join(confirmed.select(record_id, label), record_id)
-    return fault_classifier_fit(joined, columns, label, x, **fit_options)
+    return fault_classifier_fit(materialise(joined.select(x, label), "confirmed"), columns, label, x, **fit_options)

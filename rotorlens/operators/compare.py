@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rotorlens.operators.clustering import kmeans_predict, silhouette
+from rotorlens.operators.clustering import KMeans, kmeans_predict, silhouette
 from rotorlens.operators.iforest import IsolationForest
 from rotorlens.operators.lof import NEIGHBOURS, local_outlier_factor
 from rotorlens.operators.quantiles import exact_quantiles
@@ -21,7 +20,7 @@ def lof_anomalies(df: DataFrame, contamination: float, k: int = NEIGHBOURS, x: s
     return scores.withColumn("is_anomaly", F.col("_score") < F.lit(limit)).drop("_score")
 
 
-def detector_comparison(df: DataFrame, forest: IsolationForest, kmeans: KMeansModel, k: int = NEIGHBOURS,
+def detector_comparison(df: DataFrame, forest: IsolationForest, kmeans: KMeans, k: int = NEIGHBOURS,
                         x: str = "x", record_id: str = "record_id") -> DataFrame:
     """One row per detector: anomalies, share, silhouette; difference and relative difference on the first row."""
     spark = df.sparkSession

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -410,12 +409,17 @@ def _detector(spark: SparkSession, sf: str) -> tuple[SC.Scaler, I.IsolationFores
     return _once("detector", spark, sf, lambda: M.fit_detector(_stored_features(spark, sf)))
 
 
-def _clusters(spark: SparkSession, sf: str) -> tuple[KMeansModel, DataFrame]:
+def _clusters(spark: SparkSession, sf: str) -> tuple[C.KMeans, DataFrame]:
     return _once("clusters", spark, sf, lambda: M.fit_clusters(_stored_features(spark, sf), *_detector(spark, sf)))
 
 
+def _boosted(spark: SparkSession, sf: str) -> tuple[CL.FaultClassifier, DataFrame]:
+    """The classifier and its fold scores: one run of the boosting jobs gives both."""
+    return _once("classifier", spark, sf, lambda: CL.fit_and_validate(_clusters(spark, sf)[1], MODEL_INPUTS))
+
+
 def _classifier(spark: SparkSession, sf: str) -> CL.FaultClassifier:
-    return _once("classifier", spark, sf, lambda: CL.fault_classifier_fit(_clusters(spark, sf)[1], MODEL_INPUTS))
+    return _boosted(spark, sf)[0]
 
 
 def _models(spark: SparkSession, sf: str) -> M.Models:
@@ -440,7 +444,7 @@ def _scaled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iforest_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _detector(spark, sf)[1].score(_scaled(spark, sf)).select("record_id", "anomaly_score")
+    return rounded(_detector(spark, sf)[1].score(_scaled(spark, sf)).select("record_id", "anomaly_score"), "anomaly_score")
 
 
 def iforest_predict(spark: SparkSession, sf: str) -> DataFrame:
@@ -521,7 +525,7 @@ def fault_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return MT.cv_summary(CL.cross_validate(_clusters(spark, sf)[1], MODEL_INPUTS))
+    return MT.cv_summary(_boosted(spark, sf)[1])
 
 
 def feature_importance_top(spark: SparkSession, sf: str) -> DataFrame:

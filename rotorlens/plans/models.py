@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rotorlens.functions.labels import fault_description, probabilities_map, round_confidence
 from rotorlens.functions.numeric import contamination_for
-from rotorlens.operators.classify import ESTIMATORS, FOLDS, FaultClassifier, cross_validate, fault_classifier_fit
-from rotorlens.operators.clustering import STARTS, kmeans_fit, kmeans_predict
+from rotorlens.operators.classify import ESTIMATORS, FOLDS, FaultClassifier, fault_classifier_fit, fit_and_validate
+from rotorlens.operators.clustering import STARTS, KMeans, kmeans_fit, kmeans_predict
 from rotorlens.operators.iforest import SUB_SAMPLE, TREES, IsolationForest, isolation_forest_fit
 from rotorlens.operators.metrics import accuracy_f1_macro, classification_report, confusion_matrix, cv_summary
 from rotorlens.operators.report import distribution, top_by
@@ -27,7 +26,7 @@ class Models:
     columns: tuple[str, ...]
     scaler: Scaler
     forest: IsolationForest
-    kmeans: KMeansModel
+    kmeans: KMeans
     classifier: FaultClassifier
 
 
@@ -54,7 +53,7 @@ def fit_detector(
 def fit_clusters(
     features: DataFrame, scaler: Scaler, forest: IsolationForest, clusters: int = N_CLUSTERS, n_init: int = STARTS,
     seed: int = 42,
-) -> tuple[KMeansModel, DataFrame]:
+) -> tuple[KMeans, DataFrame]:
     """K-means on the anomalies, and the anomalies with their cluster: ``record_id, x, label`` (a stored table)."""
     inputs = select_model_inputs(features, scaler.columns)
     flagged = forest.predict(scaler.vector(inputs).select("record_id", "x"))
@@ -73,10 +72,10 @@ def train(
     kmeans, labelled = fit_clusters(features, scaler, forest, clusters, n_init, seed)
     tables = {"cluster_distribution": distribution(labelled, "label")}
     if folds:
-        scores = cross_validate(labelled, columns, folds=folds, seed=seed, n_estimators=n_estimators)
-        tables["folds"] = scores
-        tables["cv_summary"] = cv_summary(scores)
-    classifier = fault_classifier_fit(labelled, columns, seed=seed, n_estimators=n_estimators)
+        classifier, tables["folds"] = fit_and_validate(labelled, columns, folds=folds, seed=seed, n_estimators=n_estimators)
+        tables["cv_summary"] = cv_summary(tables["folds"])
+    else:
+        classifier = fault_classifier_fit(labelled, columns, n_estimators=n_estimators)
     fitted = classifier.predict(labelled).select("record_id", "label", "prediction", "confidence")
     tables.update({
         "train_predictions": fitted,
@@ -89,27 +88,24 @@ def train(
 
 
 def save_models(models: Models, path: str, spark: SparkSession) -> None:
-    """Spark ML writers for the ML models; small tables for the scaler, the trees and the ordered feature names."""
+    """Small tables: the scaler, the trees of both kinds, the centres and the ordered feature names."""
     models.scaler.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
     models.forest.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/forest")
-    models.kmeans.write().overwrite().save(f"{path}/kmeans")
-    models.classifier.save(f"{path}/classifier")
+    models.kmeans.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/kmeans")
+    models.classifier.save(f"{path}/classifier", spark)
     spark.createDataFrame([(i, c) for i, c in enumerate(models.columns)], "position int, name string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/feature_names")
-    spark.createDataFrame([(int(c),) for c in models.classifier.classes], "class int") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
 
 
 def load_models(spark: SparkSession, path: str) -> Models:
     names = spark.read.parquet(f"{path}/feature_names").orderBy("position").collect()  # one row per column
     columns = tuple(r["name"] for r in names)
-    classes = sorted(r["class"] for r in spark.read.parquet(f"{path}/classes").collect())  # one row per class
     return Models(
         columns,
         Scaler.from_frame(spark.read.parquet(f"{path}/scaler")),
         IsolationForest.from_frame(spark.read.parquet(f"{path}/forest")),
-        KMeansModel.load(f"{path}/kmeans"),
-        FaultClassifier.load(f"{path}/classifier", classes, columns),
+        KMeans.from_frame(spark.read.parquet(f"{path}/kmeans")),
+        FaultClassifier.load(spark, f"{path}/classifier", columns),
     )
 
 

@@ -343,7 +343,42 @@ def _forest(trees: int = 100, sub_sample: int = 256, seed: int = 42) -> str:
     FROM w{levels} w JOIN sizes z ON w.tree = z.tree AND w.node = z.node GROUP BY record_id)"""
 
 
+def _clusters(k: int = 4, starts: int = 10, seed: int = 42) -> str:
+    """K-means of the forest's anomalies: first centres by waiting times, then all starts until they rest."""
+    width = len(MODEL_INPUTS_SQL)
+    far = "list_sum(list_transform(list_zip(p.x, t.c), lambda q: (q[1] - q[2]) * (q[1] - q[2])))"
+    wait = lambda step: (f"-ln(1 - ('0x' || substr(md5('{seed}:' || start || ':{step}:' || record_id), 1, 13))::BIGINT"
+                         f" / 4503599627370496.0::DOUBLE)")
+    first = [f"""i0 AS MATERIALIZED (SELECT start, 0 AS k, x AS c FROM points, range({starts}) r(start)
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY {wait(0)}, record_id) = 1)"""]
+    for step in range(1, k):
+        first.append(f"""d{step} AS (SELECT t.start, p.record_id, any_value(p.x) AS x, min({far}) AS d FROM points p, i{step - 1} t GROUP BY t.start, p.record_id),
+  i{step} AS MATERIALIZED (SELECT * FROM i{step - 1} UNION ALL (SELECT start, {step} AS k, x AS c FROM d{step}
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY CASE WHEN d > 0 THEN {wait(step)} / d ELSE 'inf'::DOUBLE END, record_id) = 1))""")
+    return f"""{_forest().replace('WITH ', 'WITH RECURSIVE ', 1)},
+  ordered AS (SELECT anomaly_score AS s, row_number() OVER (ORDER BY anomaly_score) - 1 AS r, c * (n - 1) AS place FROM rated, counted),
+  cut AS MATERIALIZED (SELECT min(s) FILTER (r = floor(place)) + (min(s) FILTER (r = ceil(place)) - min(s) FILTER (r = floor(place)))
+    * (max(place) - floor(max(place))) AS q FROM ordered),
+  points AS MATERIALIZED (SELECT record_id, x FROM scaled JOIN rated USING (record_id), cut WHERE anomaly_score < q),
+  spread AS (SELECT 1e-4::DOUBLE * ({' + '.join(f'var_pop(x[{f}])' for f in range(1, width + 1))}) / {width} AS most FROM points),
+  {', '.join(first)},
+  it AS (SELECT start, k, c, 0 AS i, false AS rests FROM i{k - 1}
+    UNION ALL
+    SELECT start, k, c, i + 1, sum(moved) OVER (PARTITION BY start) <= (SELECT most FROM spread) FROM (
+      SELECT o.start, o.k, o.i, coalesce(n.c, o.c) AS c, list_sum(list_transform(list_zip(o.c, coalesce(n.c, o.c)),
+        lambda q: (q[1] - q[2]) * (q[1] - q[2]))) AS moved
+      FROM it o LEFT JOIN (SELECT start, k, [{', '.join(f'avg(x[{f}])' for f in range(1, width + 1))}] AS c FROM (
+        SELECT p.x, t.start, t.k, row_number() OVER (PARTITION BY t.start, p.record_id ORDER BY {far}, t.k) AS near FROM points p, it t
+        WHERE NOT t.rests) WHERE near = 1 GROUP BY start, k) n ON n.start = o.start AND n.k = o.k
+      WHERE NOT o.rests AND o.i < 300)),
+  final AS MATERIALIZED (SELECT start, k, c FROM it QUALIFY i = max(i) OVER (PARTITION BY start)),
+  placed AS MATERIALIZED (SELECT t.start, p.record_id, min({far}) AS d, arg_min(t.k, {far}) AS k FROM points p, final t GROUP BY t.start, p.record_id),
+  best AS (SELECT start FROM placed GROUP BY start ORDER BY printf('%.8e', sum(d)::DOUBLE)::DOUBLE, start LIMIT 1)"""
+
+
 ORACLE.update({
+    "kmeans_best_of_10": f"""{_clusters().replace('WITH RECURSIVE ', f'WITH RECURSIVE {COUNTED}, ', 1)}
+        SELECT record_id, CAST(k AS INTEGER) AS label FROM placed JOIN best USING (start)""",
     "standard_scale": f"""{FEATURES}, {MOMENTS}
         SELECT record_id, {_scale(MODEL_INPUTS_SQL, 'm_{c}', 's_{c}')} FROM kept, m""",
     "iforest_scores": f"""{_forest()}

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rotorlens.operators import boosting as B
 from rotorlens.operators import classify as CL
 from rotorlens.operators import clustering as C
 from rotorlens.operators import group_iforest as G
@@ -78,9 +79,9 @@ def test_kmeans_and_centres(spark):
     x = np.concatenate([RNG.normal(c, 0.1, size=(100, 2)) for c in (0, 5, 10, 20)])
     df = points(spark, x)
     model = C.kmeans_fit(df, n_init=4)
-    assert model.summary.trainingCost < 20
+    assert model.cost < 20
     labels = C.kmeans_predict(model, df).toPandas()
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    centres = [list(map(float, c)) for c in model.centres]
     near = C.nearest_centre(df, centres).toPandas()
     assert dict(zip(labels.record_id, labels.cluster)) == dict(zip(near.record_id, near.cluster))
     assert C.silhouette(C.nearest_centre(df, centres)).first()["verdict"] == "good"
@@ -143,6 +144,85 @@ def test_classifier_folds_and_metrics(spark):
     assert summary["std_accuracy"] == pytest.approx(np.std([r["accuracy"] for r in scores.collect()]))
 
 
+def boosted_by_hand(x, y, classes, rounds, rate, depth):
+    """Softmax boosting with trees that try every cut between values; no Spark."""
+    raw = np.tile(np.log(np.bincount(y, minlength=classes) / len(y)), (len(y), 1))
+
+    def tree(rows, gap, level):
+        best = (1e-12, None)
+        for f in range(x.shape[1]) if level < depth else ():
+            for cut in np.unique(x[rows, f])[:-1]:
+                left = x[rows, f] <= cut
+                n, m = left.sum(), (~left).sum()
+                gain = n * m / (n + m) * (gap[rows][left].mean() - gap[rows][~left].mean()) ** 2
+                if gain > best[0] + 1e-9:
+                    best = (gain, (f, cut))
+        if best[1] is None:
+            g = gap[rows]
+            raw_step[rows] = rate * (classes - 1) / classes * g.sum() / (np.abs(g) * (1 - np.abs(g))).sum()
+            return
+        left = x[rows, best[1][0]] <= best[1][1]
+        tree(rows[left], gap, level + 1)
+        tree(rows[~left], gap, level + 1)
+
+    for _ in range(rounds):
+        p = np.exp(raw - raw.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        steps = []
+        for c in range(classes):
+            raw_step = np.zeros(len(y))
+            tree(np.arange(len(y)), (y == c) - p[:, c], 0)
+            steps.append(raw_step)
+        raw = raw + np.stack(steps, 1)
+    p = np.exp(raw - raw.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def test_boosting_against_softmax_trees_by_hand(spark):
+    x = np.round(RNG.normal(size=(60, 3)) * 4)  # few values, so that bins are values
+    y = np.clip((x[:, 0] + RNG.normal(size=60) * 3) // 3 + 1, 0, 2).astype(int)
+    df = points(spark, x).join(spark.createDataFrame([(f"{i:05d}", int(c)) for i, c in enumerate(y)], "record_id string, label int"), "record_id")
+    want = boosted_by_hand(x, y, 3, 4, 0.1, 3)
+    for task_rows in (1000, 0):  # all rounds in a task, and a job per level
+        models, _ = B.boost(df, [0, 1, 2], "label", "x", 3, 4, 0.1, 3, task_rows=task_rows)
+        assert np.allclose(models[0].probabilities(x), want, atol=1e-5)
+    got = CL.FaultClassifier(models[0], ("a", "b", "c")).predict(df, only=F.col("label") > 0).toPandas()
+    given = got.label > 0
+    assert np.allclose(np.array(got.probability[given].tolist()), want[got.record_id[given].astype(int)], atol=1e-5)
+    assert got.prediction[~given].isna().all() and got.confidence[~given].isna().all()
+
+
+def test_boosted_trees_do_not_depend_on_jobs_or_partitions(spark):
+    x = RNG.normal(size=(300, 4))
+    rows = [(f"{i:05d}", [float(v) for v in r], int(r[0] > 0) + int(r[1] > 0.5), i % 3) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "record_id string, x array<double>, label int, fold int")
+    fits = [B.boost(d, [0, 1, 2], "label", "x", 4, 12, 0.1, 3, "fold", 3, task_rows=n) for d, n in ((df, 1000), (df.repartition(5), 0))]
+    for a, b in zip(fits[0][0], fits[1][0]):
+        assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in ("start", "feature", "threshold", "value", "gain"))
+    judged = [sorted(map(tuple, f[1].collect())) for f in fits]
+    assert judged[0] == judged[1] and len(judged[0]) == 300
+    again = B.Ensemble.from_frame(fits[0][0][1].to_frame(spark))
+    assert np.array_equal(again.probabilities(x), fits[0][0][1].probabilities(x))
+
+
+def test_kmeans_starts_and_awkward_points(spark):
+    x = np.concatenate([RNG.normal(c, 0.1, size=(50, 2)) for c in (0, 9)] + [np.zeros((3, 2))])
+    df = points(spark, x)
+    one, other = C.kmeans_fit(df, 2, n_init=3), C.kmeans_fit(df.repartition(7), 2, n_init=3)
+    assert np.allclose(one.centres, other.centres)
+    assert one.cost == pytest.approx(sum(min(((r - np.array(c)) ** 2).sum() for c in one.centres) for r in x))
+    same = C.kmeans_fit(points(spark, np.ones((5, 2))), 3, n_init=2)
+    assert same.cost == 0 and C.KMeans.from_frame(same.to_frame(spark)) == same
+
+
+def test_forest_takes_repeated_ids(spark):
+    x = RNG.normal(size=(300, 2))
+    df = points(spark, x)
+    copies = df.unionByName(df.filter("record_id < '00100'")).unionByName(df.filter("record_id = '00007'"))
+    forest = I.isolation_forest_fit(copies, 0.1, trees=5)
+    assert forest.sub_sample == 256 and forest.score(copies).count() == 401
+
+
 def test_metrics_with_a_class_never_predicted(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 1)], "label int, prediction int")
     report = {r["class"]: r for r in MT.classification_report(df).collect()}
@@ -187,12 +267,12 @@ def test_registered_training_takes_the_default_rounds(spark, sf, monkeypatch):
 
     rounds = []
 
-    def boosted(**options):
-        rounds.append(options["maxIter"])
+    def boosted(df, classes, label, x, features, n_estimators, *options, **more):
+        rounds.append(n_estimators)
         raise Seen
 
     monkeypatch.setattr(catalog, "_STAGES", {})
-    monkeypatch.setattr(classify, "GBTClassifier", boosted)
+    monkeypatch.setattr(classify, "boost", boosted)
     for query in (catalog.fault_classifier, catalog.cv_summary, catalog.supervised_labels):
         with pytest.raises(Seen):
             query(spark, sf)
