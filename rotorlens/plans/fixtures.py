@@ -74,7 +74,7 @@ def lines_from(spectra_frame: DataFrame) -> DataFrame:
 
     fields = F.concat(
         F.when(kind == 41, F.lit("")).otherwise(leaf("dev_eui", "S", F.col("dev_eui"))),
-        F.when(kind == 37, F.lit("")).otherwise(F.concat(
+        F.when(kind == 37, F.lit("")).when(kind == 45, F.lit('"mode":{"N":null},')).otherwise(F.concat(
             leaf("mode", "N", F.col("mode").cast("string")), leaf("axis", "N", F.col("axis").cast("string")))),
         leaf("T1", "N", F.when(kind == 23, F.lit("oops")).otherwise(F.col("temp").cast("string"))),
         leaf("timestamp", "N", F.col("ts_ms").cast("decimal(20,0)").cast("string")),
@@ -83,7 +83,7 @@ def lines_from(spectra_frame: DataFrame) -> DataFrame:
     )
     line = (F.when(kind == 3, F.lit("not json")).when(kind == 7, F.lit(""))
             .when(kind == 11, F.lit('{"Other":{}}'))
-            .otherwise(F.concat(F.lit('{"Item":{'), fields, F.lit("}}"))))
+            .otherwise(F.concat(F.lit('{"Item":{'), fields, F.lit("}}"), F.when(kind == 47, F.lit('],"x":[1')).otherwise(F.lit("")))))
     return spectra_frame.select(line.alias("value"))
 
 

@@ -97,7 +97,7 @@ def _round(*columns: str, digits: int = 6) -> str:
 
 
 # Lines without damage that costs the record.
-VALID = "event_id % 50 NOT IN (3, 7, 11, 13, 17, 19, 23, 29, 43)"
+VALID = "event_id % 50 NOT IN (3, 7, 11, 13, 17, 19, 23, 29, 43, 45, 47)"
 PARSED = f"""parsed AS (
   SELECT * REPLACE (CASE WHEN event_id % 50 = 41 THEN 'unknown' ELSE dev_eui END AS dev_eui,
                     CASE WHEN event_id % 50 = 37 THEN -1 ELSE mode END AS mode,
@@ -127,17 +127,17 @@ ORACLE: dict[str, str] = {
     "repeated_lines": f"""WITH {SPECTRA}, {PARSED}
         SELECT dev_eui, CAST(sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n,
                CAST(sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS ids FROM parsed GROUP BY dev_eui""",
-    "ingest_discards": """SELECT CASE event_id % 50 WHEN 3 THEN 'malformed' WHEN 7 THEN 'malformed' WHEN 43 THEN 'malformed'
+    "ingest_discards": """SELECT CASE event_id % 50 WHEN 3 THEN 'malformed' WHEN 7 THEN 'malformed' WHEN 43 THEN 'malformed' WHEN 45 THEN 'malformed' WHEN 47 THEN 'malformed'
           WHEN 11 THEN 'no_item' WHEN 13 THEN 'no_readings' WHEN 17 THEN 'empty_list' WHEN 19 THEN 'no_values'
           WHEN 23 THEN 'bad_metadata' WHEN 29 THEN 'misaligned' ELSE 'valid' END AS outcome, count(*) AS n
         FROM events GROUP BY outcome""",
     "ingest_pairwise": """SELECT CAST(CASE WHEN event_id % 50 = 29 THEN 63 ELSE 64 END AS INTEGER) AS points, count(*) AS n
-        FROM events WHERE event_id % 50 NOT IN (3, 7, 11, 13, 17, 19, 23, 43) GROUP BY points""",
+        FROM events WHERE event_id % 50 NOT IN (3, 7, 11, 13, 17, 19, 23, 43, 45, 47) GROUP BY points""",
     # Missing values count as 0 here, and metadata is not looked at.
     "ingest_lenient": f"""WITH {SPECTRA} SELECT CAST(len(vals) AS INTEGER) AS points,
           CASE WHEN event_id % 50 = 19 THEN CAST(0 AS DOUBLE)
                ELSE round(list_sum(list_transform(vals, lambda x: x * x)), 6) END AS energy
-        FROM spectra WHERE event_id % 50 NOT IN (3, 7, 11, 13, 17, 29, 43)""",
+        FROM spectra WHERE event_id % 50 NOT IN (3, 7, 11, 13, 17, 29, 43, 47)""",
     "features_all": f"{FEATURES} SELECT record_id, dev_eui, mode, axis, ts_ms, {_round(*SPECTRAL_FEATURES)} FROM features",
     "features_eda": f"""WITH {SPECTRA}, {_features(EDA_EPS, f'CAST({EDA_TEMP} AS DOUBLE)')}
         SELECT record_id, {_round(*SPECTRAL_FEATURES)} FROM features""",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rotorlens.functions.numeric import py_float
 from rotorlens.operators.sampling import hash_sample, number_copies
 from rotorlens.schema import CORRUPT_COLUMN, LINE_SCHEMA
+from rotorlens.session import materialise
 
 SPECTRA_COLUMNS = ["record_id", "dev_eui", "mode", "axis", "ts_ms", "temp", "spectrum"]
 LENIENT_MIN_POINTS = 10
@@ -26,27 +27,67 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).text(path)
 
 
-def _json(lines: DataFrame) -> DataFrame:
+#: Lines that may hold an explicit null, or text that closes the list around the record: the only ones parsed twice.
+_ODD = r"null|\]\s*,"
+_LEAVES = ("mode", "axis", "timestamp", "T1")
+
+
+def _json(lines: DataFrame, nulls: bool = False) -> DataFrame:
+    """``nulls``: an explicit null where a record or its readings are looked at makes the line malformed. Parsed to a
+    schema, it would look like a missing value, which has a default."""
     # The parser stops after one complete value. Wrapped as the one element of a list, text behind the record is an
-    # error as well, or makes the list longer.
+    # error as well, or makes the list longer. A line that closes the list itself doesn't fit into an object.
     wrapped = F.concat(F.lit('{"line":['), F.col("value"), F.lit("]}"))
     parsed = F.from_json(wrapped, LINE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
     own = F.col("record_id") if "record_id" in lines.columns else F.sha2(F.col("value"), 256)
-    return (lines.select(own.alias("record_id"), parsed.alias("_j"))
+    odd = F.col("value").rlike(_ODD)
+    within = F.concat(F.lit('{"line":'), F.col("value"), F.lit("}"))
+    return (lines.select(own.alias("record_id"), parsed.alias("_j"), odd.alias("_odd"), F.when(odd, F.try_parse_json(within)).alias("_v"))
             .select("record_id", F.when(F.size("_j.line") == 1, F.get("_j.line", 0)).alias("line"),
-                    F.col(f"_j.{CORRUPT_COLUMN}").isNotNull().alias("_corrupt"))
-            .select("record_id", "line", (F.col("line").isNull() | F.col("_corrupt")).alias("_malformed")))
+                    F.col(f"_j.{CORRUPT_COLUMN}").isNotNull().alias("_corrupt"),
+                    (F.col("_odd") & (F.col("_v").isNull() | (_holds_nulls(F.col("_v")) if nulls else F.lit(False)))).alias("_refused"))
+            .select("record_id", "line", (F.col("line").isNull() | F.col("_corrupt") | F.col("_refused")).alias("_malformed")))
+
+
+def _null_at(v: Column, path: str) -> Column:
+    return F.coalesce(F.is_variant_null(F.try_variant_get(v, path, "variant")), F.lit(False))
+
+
+def _holds_nulls(v: Column) -> Column:
+    """Nulls that damage a record. One in the device's name, or in a reading without both leaves, does not."""
+    found = F.lit(False)
+    for path in ("", ".readings", ".dev_eui", *[f".{x}" for x in _LEAVES], *[f".{x}.N" for x in _LEAVES]):
+        found = found | _null_at(v, f"$.line.Item{path}")
+
+    def damaged(entry: Column) -> Column:
+        both = F.try_variant_get(entry, "$.M.frequency", "variant").isNotNull() & F.try_variant_get(entry, "$.M.value", "variant").isNotNull()
+        inner = F.lit(False)
+        for path in ("$.M.frequency", "$.M.value", "$.M.frequency.N", "$.M.value.N"):
+            inner = inner | _null_at(entry, path)
+        return _null_at(entry, "$") | _null_at(entry, "$.M") | (both & inner)
+
+    return found | F.coalesce(F.exists(F.try_variant_get(v, "$.line.Item.readings.L", "array<variant>"), damaged), F.lit(False))
+
+
+#: So many distinct repeated lines, 8 bytes each, are sent to all tasks.
+REPEATS_SENT = 2_000_000
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """``value`` with a ``record_id`` that no other line has: the line's hash, for further copies with a number.
 
-    Hashes alone are counted. Only lines that repeat are counted again as rows and re-created with their numbers.
+    Short hashes alone are counted first, at once. Only lines whose hash repeats are shuffled, to be counted as rows and
+    re-created with their numbers; all others stay where they are read, as long as the repeated hashes are few enough to
+    be sent to all tasks. Lines that merely share a short hash are told apart by the count of whole rows.
     """
-    keyed = lines.select(F.sha2(F.col("value"), 256).alias("record_id"), "value")
-    again = keyed.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id")
-    return keyed.join(again, "record_id", "left_anti").unionByName(
-        number_copies(keyed.join(again, "record_id", "left_semi")))
+    hashed = lines.select("value", F.xxhash64("value").alias("_h"))
+    again = materialise(hashed.groupBy("_h").agg(F.count("*").alias("n")).where("n > 1").select("_h"), "repeated-lines")
+    repeats = again.count()
+    keyed = hashed.select(F.sha2(F.col("value"), 256).alias("record_id"), "value", "_h")
+    if not repeats:
+        return keyed.drop("_h")
+    side = F.broadcast(again) if repeats <= REPEATS_SENT else again
+    return keyed.join(side, "_h", "left_anti").drop("_h").unionByName(number_copies(keyed.join(side, "_h", "left_semi").drop("_h")))
 
 
 def _number(field: str) -> Column:
@@ -73,7 +114,7 @@ def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     for field in numbers:
         bad_metadata = bad_metadata | _bad_number(_number(field))
 
-    staged = _json(lines).select(
+    staged = _json(lines, nulls=True).select(
         "record_id",
         "_malformed",
         F.col("line.Item").isNull().alias("_no_item"),

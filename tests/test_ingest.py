@@ -20,6 +20,21 @@ CASES = {
     item(PAIR) + " tail": "malformed",
     item(PAIR) + item(PAIR): "malformed",
     item('{"M":{"frequency":"40","value":{"N":"1"}}}'): "malformed",
+    item(PAIR) + '],"x":[1': "malformed",
+    item(PAIR) + ' ] , "x":[{}': "malformed",
+    '{"Item": null}': "malformed",
+    '{"Item": {"readings": null}}': "malformed",
+    '{"Item": {"readings": {"L": null}}}': "empty_list",
+    item(PAIR, '"mode":null,'): "malformed",
+    item(PAIR, '"axis":{"N":null},'): "malformed",
+    item(PAIR, '"dev_eui":null,'): "malformed",
+    item(PAIR, '"dev_eui":{"S":null},'): None,
+    item(PAIR, '"note":null,"tags":["a","null"],'): None,
+    item(PAIR + ",null"): "malformed",
+    item(PAIR + ',{"M":null}'): "malformed",
+    item(PAIR + ',{"M":{"frequency":null}}'): None,
+    item(PAIR + ',{"M":{"frequency":{"N":null},"value":{"N":"1"}}}'): "malformed",
+    item(PAIR + ',{"M":{"frequency":{"N":"1"},"value":null}}'): "malformed",
     '{"Other": {}}': "no_item",
     '{"Item": {"mode": {"N": "1"}}}': "no_readings",
     '{"Item": {"readings": {}}}': "empty_list",
@@ -84,6 +99,19 @@ def test_counts_and_files(spark, folder):
     assert S.read_spectra(spark, f"{folder}/raw").count() == expected["valid"]
 
 
+def test_only_repeated_lines_are_shuffled(spark):
+    one, two, three = item(PAIR), item(PAIR + "," + PAIR), item(PAIR, '"note":"x",')
+    lines = spark.createDataFrame([(x,) for x in (one, two, two, three, three, three)], "value string")
+    rows = S.numbered_lines(lines).collect()
+    assert len({r.record_id for r in rows}) == len(rows) == 6
+    assert sorted(r.value for r in rows) == sorted([one, two, two, three, three, three])
+    assert S.numbered_lines(lines.distinct()).count() == 3
+    plain = S.numbered_lines(spark.range(9).selectExpr("cast(id as string) as value"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plain
+    some = S.numbered_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in some and "SortMergeJoin" not in some
+
+
 @pytest.mark.parametrize("text,value", [
     ("1e3", 1000.0), (" 2 ", 2.0), ("+.5", 0.5), ("5.", 5.0), ("-INF", float("-inf")), ("1d", None), ("1f", None),
     ("0x10", None), ("0x1p3", None), (".", None), ("", None), ("Infinity", float("inf")), ("12", 12.0), ("1e5 ", 1e5),
