@@ -343,6 +343,14 @@ def _forest(trees: int = 100, sub_sample: int = 256, seed: int = 42) -> str:
     FROM w{levels} w JOIN sizes z ON w.tree = z.tree AND w.node = z.node GROUP BY record_id)"""
 
 
+def _flagged() -> str:
+    """The scores and their quantile at the contamination, below which records are anomalies."""
+    return f"""{_forest().replace('WITH ', f'WITH {COUNTED}, ', 1)},
+  ordered AS (SELECT anomaly_score AS s, row_number() OVER (ORDER BY anomaly_score) - 1 AS r, c * (n - 1) AS place FROM rated, counted),
+  cut AS MATERIALIZED (SELECT min(s) FILTER (r = floor(place)) + (min(s) FILTER (r = ceil(place)) - min(s) FILTER (r = floor(place)))
+    * (max(place) - floor(max(place))) AS q FROM ordered)"""
+
+
 def _clusters(k: int = 4, starts: int = 10, seed: int = 42) -> str:
     """K-means of the forest's anomalies: first centres by waiting times, then all starts until they rest."""
     width = len(MODEL_INPUTS_SQL)
@@ -355,10 +363,7 @@ def _clusters(k: int = 4, starts: int = 10, seed: int = 42) -> str:
         first.append(f"""d{step} AS (SELECT t.start, p.record_id, any_value(p.x) AS x, min({far}) AS d FROM points p, i{step - 1} t GROUP BY t.start, p.record_id),
   i{step} AS MATERIALIZED (SELECT * FROM i{step - 1} UNION ALL (SELECT start, {step} AS k, x AS c FROM d{step}
     QUALIFY row_number() OVER (PARTITION BY start ORDER BY CASE WHEN d > 0 THEN {wait(step)} / d ELSE 'inf'::DOUBLE END, record_id) = 1))""")
-    return f"""{_forest().replace('WITH ', 'WITH RECURSIVE ', 1)},
-  ordered AS (SELECT anomaly_score AS s, row_number() OVER (ORDER BY anomaly_score) - 1 AS r, c * (n - 1) AS place FROM rated, counted),
-  cut AS MATERIALIZED (SELECT min(s) FILTER (r = floor(place)) + (min(s) FILTER (r = ceil(place)) - min(s) FILTER (r = floor(place)))
-    * (max(place) - floor(max(place))) AS q FROM ordered),
+    return f"""{_flagged().replace('WITH ', 'WITH RECURSIVE ', 1)},
   points AS MATERIALIZED (SELECT record_id, x FROM scaled JOIN rated USING (record_id), cut WHERE anomaly_score < q),
   spread AS (SELECT 1e-4::DOUBLE * ({' + '.join(f'var_pop(x[{f}])' for f in range(1, width + 1))}) / {width} AS most FROM points),
   {', '.join(first)},
@@ -377,7 +382,7 @@ def _clusters(k: int = 4, starts: int = 10, seed: int = 42) -> str:
 
 
 ORACLE.update({
-    "kmeans_best_of_10": f"""{_clusters().replace('WITH RECURSIVE ', f'WITH RECURSIVE {COUNTED}, ', 1)}
+    "kmeans_best_of_10": f"""{_clusters()}
         SELECT record_id, CAST(k AS INTEGER) AS label FROM placed JOIN best USING (start)""",
     "standard_scale": f"""{FEATURES}, {MOMENTS}
         SELECT record_id, {_scale(MODEL_INPUTS_SQL, 'm_{c}', 's_{c}')} FROM kept, m""",
@@ -391,8 +396,11 @@ ORACLE.update({
           round(100.0::DOUBLE * anomalies / total, 6) AS pct_anomalies FROM flagged""",
     "prediction_checks": f"""WITH {COUNTED} SELECT total, anomalies, total - anomalies AS clean_normals,
           anomalies AS sound_anomalies FROM flagged""",
-    "model_roundtrip": "SELECT count(*) AS total, count(*) AS equal FROM events",
-    "stream_predictions": "SELECT count(*) AS total, count(*) AS equal FROM events",
+    "model_roundtrip": f"""{_flagged()} SELECT record_id, round(anomaly_score, 6) + 0.0::DOUBLE AS anomaly_score,
+          anomaly_score < q AS is_anomaly FROM rated, cut""",
+    "stream_predictions": f"{_flagged()} SELECT record_id, anomaly_score < q AS is_anomaly, true AS sound FROM rated, cut",
+    "train": f"""{_clusters()}, sized AS (SELECT CAST(k AS INTEGER) AS label, count(*) AS n FROM placed JOIN best USING (start) GROUP BY k)
+        SELECT label, n, round(100.0::DOUBLE * n / (SELECT sum(n) FROM sized), 6) AS pct FROM sized""",
     "nearest_centre": f"""WITH {POINTS} SELECT a.vec_id, CAST(arg_min(b.vec_id, {DISTANCE}) AS INTEGER) AS cluster
         FROM points a, points b WHERE b.vec_id < 4 GROUP BY a.vec_id""",
     "cluster_distribution": f"""WITH {LABELLED} SELECT label, count(*) AS n,
