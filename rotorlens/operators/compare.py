@@ -34,7 +34,7 @@ def detector_comparison(df: DataFrame, forest: IsolationForest, kmeans: KMeans,
     rows = []
     for name, anomalous in chosen.items():
         clustered = materialise(kmeans_predict(kmeans, anomalous, x), "clustered")
-        score = silhouette(clustered, "cluster", x, record_id=record_id).first()["silhouette"]
+        score = silhouette(clustered, label="cluster", x=x, record_id=record_id).first()["silhouette"]
         rows.append((name, clustered.count(), float(score)))
     difference = rows[0][2] - rows[1][2]
     relative = 100.0 * difference / rows[1][2] if rows[1][2] else None

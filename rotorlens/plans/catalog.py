@@ -31,6 +31,7 @@ from rotorlens.schema import (
     FAULT_LABELS,
     LABEL_TRANSLATION,
     MODEL_INPUTS,
+    SILHOUETTE_SAMPLE,
     SPECTRAL_FEATURES,
     UNKNOWN_ALERT_LABEL,
     fault_dimension,
@@ -352,6 +353,15 @@ def indicator_evolution(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, "mean_rms", "anomaly_rate")
 
 
+def fleet_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Every series (device, mode and axis) stands for a device of its own, so that there is a fleet to compare."""
+    frame = A.report_frame(fx.scored(spark, sf))
+    named = frame.withColumn("dev_eui", F.concat_ws("/", "dev_eui", F.col("mode").cast("int"), F.col("axis").cast("double").cast("int")))
+    out = R.fleet_comparison(named).withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
+    return rounded(out.drop("place"), "mean", "fleet_median", "deviation").select(
+        "*", F.when(F.abs("deviation") > 1.5, "far").otherwise("near").alias("distance"))
+
+
 # --- Temporal filters ---
 
 def _series(spark: SparkSession, sf: str) -> DataFrame:
@@ -477,11 +487,11 @@ def cluster_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silhouette_euclid(spark: SparkSession, sf: str) -> DataFrame:
-    """Silhouette of the labelled embeddings on a sample of at most 5,000, which is what the operator computes."""
+    """Silhouette of the labelled embeddings on a sample of at most 5,000, each cluster compared with whole."""
     points = fx._table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("record_id"), F.transform("embedding", lambda v: v.cast("double")).alias("x"),
         F.col("label").alias("cluster"))
-    return rounded(C.silhouette(points), "silhouette")
+    return rounded(C.silhouette(points, per_cluster=SILHOUETTE_SAMPLE, sample=SILHOUETTE_SAMPLE), "silhouette")
 
 
 def silhouette_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -610,7 +620,7 @@ QUERIES: dict[str, Query] = {
         alerts_filtered, report_table, kpi_row, anomaly_rate, fault_distribution, fault_counts, severity_counts,
         fault_by_severity, device_fault_pivot, box_stats, box_outliers, score_histogram, score_threshold,
         mean_confidence, latest_alerts, clearest_examples, sorted_labels, contamination,
-        alerts_per_period, indicator_evolution,
+        alerts_per_period, indicator_evolution, fleet_comparison,
         persistence_rows, persistence_range, extreme_scores, confirmed_anomalies,
         standard_scale, robust_scale, iforest_scores, iforest_predict, group_iforest,
         kmeans_best_of_10, nearest_centre, cluster_distribution, silhouette_euclid, silhouette_all, lof_scores, detector_comparison,

@@ -263,6 +263,15 @@ ORACLE: dict[str, str] = {
     "indicator_evolution": f"""{ON_FEATURES} SELECT dev_eui,
           date_trunc('day', make_timestamp(CAST(ts_ms AS BIGINT) * 1000))::TIMESTAMP AS period_start, count(*) AS records,
           round(avg(rms), 6) AS mean_rms, round(avg(CAST(is_anomaly AS DOUBLE)), 6) AS anomaly_rate FROM scored GROUP BY ALL""",
+    "fleet_comparison": f"""{ON_FEATURES}, named AS (SELECT dev_eui || '/' || CAST(mode AS INTEGER) || '/' || CAST(axis AS INTEGER) AS dev_eui, rms,
+          date_trunc('day', make_timestamp(CAST(ts_ms AS BIGINT) * 1000))::TIMESTAMP AS period_start FROM scored),
+        means AS (SELECT dev_eui, period_start, count(*) AS records, avg(rms) AS mean FROM named GROUP BY ALL),
+        fleet AS (SELECT period_start, quantile_cont(mean, 0.25) AS low, quantile_cont(mean, 0.5) AS median, quantile_cont(mean, 0.75) AS high
+          FROM means GROUP BY period_start),
+        placed AS (SELECT dev_eui, period_start, records, mean, median, CASE WHEN high > low THEN (mean - median) / (high - low) END AS deviation
+          FROM means JOIN fleet USING (period_start))
+        SELECT dev_eui, period_start, records, round(mean, 6) AS mean, round(median, 6) AS fleet_median, round(deviation, 6) + 0.0::DOUBLE AS deviation,
+          CASE WHEN abs(round(deviation, 6)) > 1.5 THEN 'far' ELSE 'near' END AS distance FROM placed""",
     "persistence_rows": f"{ON_SPECTRA} SELECT record_id, {PERSISTENT} AS persistent FROM scored",
     "persistence_range": f"""{ON_SPECTRA} SELECT record_id, is_anomaly AND sum(CAST(is_anomaly AS INTEGER)) OVER ({SERIES}
           ORDER BY ts_ms RANGE BETWEEN 21600000 PRECEDING AND CURRENT ROW) >= 2 AS persistent FROM scored""",

@@ -109,6 +109,15 @@ def test_silhouette(spark):
     assert C.silhouette(df, sample=50).first()["rows"] == 50
 
 
+def test_silhouette_of_all_rows_by_references(spark):
+    x = np.concatenate([RNG.normal(c, 1.0, size=(n, 3)) for c, n in ((0, 3000), (2, 1500), (4, 500))])
+    labels = np.repeat([0, 1, 2], [3000, 1500, 500])
+    rows = [(f"{i:05d}", [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, labels))]
+    df = spark.createDataFrame(rows, "record_id string, x array<double>, cluster int").repartition(4)
+    got = C.silhouette(df, per_cluster=400).first()
+    assert got["rows"] == 5000 and got["silhouette"] == pytest.approx(brute_silhouette(x, labels), abs=0.01)
+
+
 def brute_lof(x, k):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
