@@ -201,6 +201,32 @@ def test_boosting_against_softmax_trees_by_hand(spark):
     assert got.prediction[~given].isna().all() and got.confidence[~given].isna().all()
 
 
+def test_levels_take_no_more_tasks_than_cores(spark):
+    """Five jobs a round: their number of tasks follows the cores, not the partitions of large shuffles."""
+    x = RNG.normal(size=(50, 3))
+    df = points(spark, x).withColumn("label", (F.col("x")[0] > 0).cast("int"))
+    before, group = spark.conf.get("spark.sql.shuffle.partitions"), "levels"
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.sparkContext.setJobGroup(group, "boosting")
+    try:
+        B.boost(df, [0, 1], "label", "x", 3, 2, 0.1, 3, task_rows=0)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= spark.sparkContext.defaultParallelism
+
+
+def test_leaves_filled_down_add_the_same(spark):
+    """Trees with leaves on several levels give every row the value of its own leaf."""
+    feature, cut, value = np.full((1, 8), -1, np.int32), np.zeros((1, 8), np.int32), np.zeros((1, 8))
+    feature[0, 1], cut[0, 1], value[0, 2] = 0, 3, 5.0  # node 2 is a leaf, node 3 is parted by the second feature
+    feature[0, 3], cut[0, 3], value[0, 6], value[0, 7] = 1, 1, 7.0, 9.0
+    bins = np.array([[0, 0], [3, 9], [4, 1], [63, 2]], np.uint8)
+    assert B._added(bins, np.ones((4, 1)), [B._Grown(feature, cut, value)], 2).ravel().tolist() == [6.0, 6.0, 8.0, 10.0]
+
+
 def test_boosted_trees_do_not_depend_on_jobs_or_partitions(spark):
     x = RNG.normal(size=(300, 4))
     rows = [(f"{i:05d}", [float(v) for v in r], int(r[0] > 0) + int(r[1] > 0.5), i % 3) for i, r in enumerate(x)]
