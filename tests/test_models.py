@@ -22,6 +22,26 @@ def points(spark, x):
                                  "record_id string, x array<double>")
 
 
+def test_far_points_of_a_cell_do_not_open_it_for_all(spark):
+    """A cell that reaches far to the other side is left alone by points far behind the plane between the pivots."""
+    rows = [("a", [-1.0], 1, 0, 1.0, 1.0), ("b", [4.0], 1, 0, 4.0, 1.5), ("c", [9.0], 1, 1, 1.0, 1.0)]
+    placed = spark.createDataFrame(rows, "vid string, x array<double>, weight long, cell int, reach double, bound double")
+    visits = LOF._visits(placed, np.array([[0.0], [10.0]]), np.array([4.0, 90.0]), 20)  # a point at 100 belongs to the second
+    assert sorted((r["vid"], r["cell"]) for r in visits.collect()) == [("b", 1)]
+
+
+def test_neighbours_of_many_cells_with_far_points(spark):
+    """Exact, whatever the cells: all distances by hand."""
+    x = np.concatenate([RNG.normal(size=(400, 3)), RNG.normal(size=(20, 3)) * 30])
+    frame = spark.createDataFrame([(f"{i:05d}", [float(v) for v in r], 1) for i, r in enumerate(x)], "vid string, x array<double>, weight long")
+    near = LOF.exact_neighbours(frame, 5, cell_rows=20, block_rows=8).collect()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    for r in near:
+        assert np.allclose([n["dist"] for n in r["neighbours"]], np.sort(d[int(r["vid"])])[:5])
+    assert len(near) == 420
+
+
 def test_scalers(spark):
     pdf = pd.DataFrame({"a": RNG.normal(3, 2, 500), "b": 4.0})
     df = spark.createDataFrame(pdf)
