@@ -238,6 +238,33 @@ def test_levels_take_no_more_tasks_than_cores(spark):
     assert max(s.numTasks for s in stages if s) <= spark.sparkContext.defaultParallelism
 
 
+def test_models_grow_in_tasks_of_their_own(spark):
+    """Up to ``TASK_ROWS`` rows, all rounds of all models are a few jobs, with a task for every model."""
+    x = RNG.normal(size=(400, 3))
+    rows = [(f"{i:05d}", [float(v) for v in r], int(r[0] > 0), i % 3) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "record_id string, x array<double>, label int, fold int")
+    group = "tasks"
+    spark.sparkContext.setJobGroup(group, "boosting")
+    try:
+        models, judged = B.boost(df, [0, 1], "label", "x", 3, 6, 0.1, 3, "fold", 3)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(models) == 4 and judged.where("prediction = label").count() > 380
+    assert len({s.stageId for s in stages if s}) < 20 and 4 in {s.numTasks for s in stages if s}
+
+
+def test_a_model_without_rows_in_its_task(spark):
+    """One fold holds all rows: the model without it has no trees, and the others are whole."""
+    rows = [([float(i)], int(i > 9), 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "x array<double>, label int, fold int")
+    for task_rows in (100, 0):
+        models, judged = B.boost(df, [0, 1], "label", "x", 1, 3, 0.1, 2, "fold", 2, task_rows=task_rows)
+        assert [int((m.feature >= 0).any()) for m in models] == [1, 0, 1]
+        assert judged.count() == 20
+
+
 def test_leaves_filled_down_add_the_same(spark):
     """Trees with leaves on several levels give every row the value of its own leaf."""
     feature, cut, value = np.full((1, 8), -1, np.int32), np.zeros((1, 8), np.int32), np.zeros((1, 8))
