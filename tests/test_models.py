@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -287,6 +290,49 @@ def test_boosted_trees_do_not_depend_on_jobs_or_partitions(spark):
     assert np.array_equal(again.probabilities(x), fits[0][0][1].probabilities(x))
 
 
+def first_centres_by_hand(x, ids, k, starts, seed):
+    """A row at a time, with the digests of the definition."""
+    chosen = [[] for _ in range(starts)]
+    for step in range(k):
+        for s in range(starts):
+            best = None
+            for i, p in zip(ids, x):
+                u = int(hashlib.md5(f"{seed}:{s}:{step}:{i}".encode()).hexdigest()[:13], 16) / 2.0 ** 52
+                due = -math.log(1 - u)
+                if step:
+                    near = min(sum((a - b) ** 2 for a, b in zip(p, c)) for c in chosen[s])
+                    due = due / near if near > 0 else math.inf
+                if best is None or (due, i) < best[:2]:
+                    best = (due, i, list(p))
+            chosen[s].append(best[2])
+    return np.array(chosen)
+
+
+def test_first_centres_by_hand(spark):
+    x = np.concatenate([RNG.normal(size=(40, 3)), np.ones((5, 3))])
+    df = points(spark, x)
+    ids = [f"{i:05d}" for i in range(45)]
+    assert np.array_equal(C.first_centres(df.repartition(6), 4, 3, 7), first_centres_by_hand(x, ids, 4, 3, 7))
+    same = C.first_centres(points(spark, np.ones((5, 2))), 3, 2, 7)
+    assert same.shape == (2, 3, 2) and (same == 1).all()
+    point = [("a", [float("nan"), 1.0]), ("b", [1.0, 1.0]), ("c", [1.0, 2.0])]
+    holes = spark.createDataFrame(point, "record_id string, x array<double>")
+    for start in C.first_centres(holes, 2, 8, 7):  # what is no point comes after all others, but for a first centre
+        assert np.isnan(start[0]).any() or not np.isnan(start[1]).any()
+
+
+def test_first_centres_measure_distances_outside_of_expressions(spark):
+    """The plan of a step stays small: no fold over the array per start and centre."""
+    kind, seen = type(points(spark, np.ones((2, 2)))), []
+    before = kind.mapInArrow
+    kind.mapInArrow = lambda df, *args, **more: (seen.append(df._jdf.queryExecution().analyzed().toString()), before(df, *args, **more))[1]
+    try:
+        C.first_centres(points(spark, RNG.normal(size=(9, 2))), 3, 2, 7)
+    finally:
+        kind.mapInArrow = before
+    assert len(seen) == 3 and not any("zip_with" in plan for plan in seen)
+
+
 def test_kmeans_starts_and_awkward_points(spark):
     x = np.concatenate([RNG.normal(c, 0.1, size=(50, 2)) for c in (0, 9)] + [np.zeros((3, 2))])
     df = points(spark, x)
@@ -297,6 +343,20 @@ def test_kmeans_starts_and_awkward_points(spark):
     assert same.cost == 0 and C.KMeans.from_frame(same.to_frame(spark)) == same
 
 
+def test_forest_scores_by_walking_each_tree(spark):
+    x = np.concatenate([RNG.normal(size=(300, 3)), [[np.nan, 0.0, np.inf]]])
+    trees = [I.grow_tree(RNG.normal(size=(64, 3)), f"1:{t}") for t in range(5)]
+
+    def path(tree, row):
+        node = 0
+        for _ in range(6):
+            node = tree["left"][node] if row[tree["feature"][node]] <= tree["split"][node] else tree["right"][node]
+        return tree["path"][node]
+
+    want = [-2.0 ** (-np.mean([path(t, row) for t in trees]) / I.average_path(np.array([64]))[0]) for row in x]
+    assert np.allclose(I.Trees.pack(trees).score(x, 64), want, rtol=1e-12)
+
+
 def test_forest_takes_repeated_ids(spark):
     x = RNG.normal(size=(300, 2))
     df = points(spark, x)
