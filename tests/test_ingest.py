@@ -112,6 +112,22 @@ def test_only_repeated_lines_are_shuffled(spark):
     assert "BroadcastHashJoin" in some and "SortMergeJoin" not in some
 
 
+def test_repeated_lines_are_parsed_once(spark, sf, monkeypatch):
+    from rotorlens.plans import catalog
+    parses = []
+    stored = catalog.materialise
+
+    def seen(df, label="table"):
+        parses.append(df._jdf.queryExecution().optimizedPlan().toString().count("from_json"))
+        return stored(df, label)
+
+    monkeypatch.setattr(catalog, "materialise", seen)
+    out = catalog.repeated_lines(spark, sf)
+    assert "from_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(parses) == 1 and parses[0]
+    assert out.agg(F.sum("n") == F.sum("ids")).first()[0]
+
+
 @pytest.mark.parametrize("text,value", [
     ("1e3", 1000.0), (" 2 ", 2.0), ("+.5", 0.5), ("5.", 5.0), ("-INF", float("-inf")), ("1d", None), ("1f", None),
     ("0x10", None), ("0x1p3", None), (".", None), ("", None), ("Infinity", float("inf")), ("12", 12.0), ("1e5 ", 1e5),
