@@ -241,6 +241,15 @@ def test_levels_take_no_more_tasks_than_cores(spark):
     assert max(s.numTasks for s in stages if s) <= spark.sparkContext.defaultParallelism
 
 
+def test_scores_of_a_batch_of_one_row():
+    """Raw scores come from a buffer that can't be written; a single row's are contiguous either way."""
+    grown = B._Grown.empty(2, 1)
+    grown.value[:, 1] = 0.5
+    raw = np.frombuffer(np.ones((1, 2)).tobytes()).reshape(1, 2)
+    assert B._added(np.zeros((1, 3), np.uint8), raw, [grown], 1).tolist() == [[1.5, 1.5]]
+    assert raw.tolist() == [[1.0, 1.0]]
+
+
 def test_models_grow_in_tasks_of_their_own(spark):
     """Up to ``TASK_ROWS`` rows, all rounds of all models are a few jobs, with a task for every model."""
     x = RNG.normal(size=(400, 3))
