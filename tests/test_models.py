@@ -428,3 +428,18 @@ def test_registered_training_takes_the_default_rounds(spark, sf, monkeypatch):
         with pytest.raises(Seen):
             query(spark, sf)
     assert set(rounds) == {classify.ESTIMATORS} == {100}
+
+
+def test_digests_are_those_of_the_expressions(spark):
+    names = ["7", "é:1", "", None]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "k int, n string")
+    rows = df.select("k", I.unit_digest(F.lit(42), F.lit(3), F.col("n")).alias("u")).orderBy("k").collect()
+    assert I.digests("42:3", names).tolist() == [r["u"] for r in rows]
+
+
+def test_whole_features_without_folds_in_the_plan(spark, sf):
+    """Expressions on arrays took most of the time that the training queries spent on features."""
+    from rotorlens.functions.spectral import extract_features
+    from rotorlens.plans import fixtures as fx
+    plan = extract_features(fx.spectra(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan
