@@ -282,3 +282,23 @@ def test_cluster_without_a_shared_folder_is_refused(spark):
 
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_folder(Cluster())
+
+
+def test_each_distinct_piece_is_looked_up_once():
+    from rotorlens.llm.queries import tokenizer_file
+    from rotorlens.llm.tokens import Encoder, read_tokenizer
+
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *key):
+            self.looked += 1
+            return super().get(*key)
+
+    coder = Encoder(read_tokenizer(tokenizer_file()))
+    coder._known = Counted()
+    long = "q" * 80
+    texts = ["the cat sat, " * 500 + "end", f"a {long} b  c {long}", None, "the cat", " x", "wide  \n gap", "one<|endoftext|> two"]
+    assert coder.batch(texts) == Encoder(read_tokenizer(tokenizer_file()))._encode([t or "" for t in texts])
+    assert coder._known.looked < 50  # once per word of each text before
+    assert long not in coder._known and "cat" in coder._known
