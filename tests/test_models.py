@@ -443,3 +443,46 @@ def test_whole_features_without_folds_in_the_plan(spark, sf):
     from rotorlens.plans import fixtures as fx
     plan = extract_features(fx.spectra(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" not in plan
+
+
+def test_digests_are_compared_as_digits(spark):
+    df = spark.range(2000).withColumn("d", I.unit_digest(F.lit(42), F.col("id"))).cache()
+    some = sorted(r["d"] for r in df.collect())
+    for limit in (0.0, some[0], some[700], np.nextafter(some[700], 1), 0.25, 1.0 - 2.0 ** -53, 1.0):
+        got = df.filter(I.digest_below(float(limit), F.lit(42), F.col("id"))).count()
+        assert got == sum(d < limit for d in some), limit
+
+
+def test_kmeans_start_in_a_task_equals_jobs_per_iteration(spark):
+    """A task per start and a job per iteration find the same centres, which needs a job or two instead of one a step."""
+    df = points(spark, RNG.normal(size=(3000, 3)) * [1, 2, 3]).repartition(3)
+    tasks, jobs = C.kmeans_fit(df, 4, n_init=3), C.kmeans_fit(df, 4, n_init=3, task_rows=0)
+    assert np.allclose(tasks.centres, jobs.centres, rtol=1e-12, atol=1e-12)
+    assert math.isclose(tasks.cost, jobs.cost, rel_tol=1e-12)
+    rows = df.select("x")
+    first = C.first_centres(df, 4, 3, 42)
+    spark.sparkContext.setJobGroup("settle", "settle")
+    C._settle_in_tasks(rows, first, 300, 1e-9)
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup("settle")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(found) <= 3
+
+
+def test_pairs_of_features_give_the_sums_of_single_ones():
+    """Sums by feature and bin of all rows, and of rows in many slots; an odd number of features."""
+    n, shape = 70_000, B._Shape(1, 2, 5, 16, 3)
+    bins, y = RNG.integers(0, 16, (n, 5)).astype(np.uint8), RNG.integers(0, 2, n)
+    rows = B._Rows(shape, bins, y, np.array([-0.3, -1.2]))
+    rows.gradient = RNG.integers(-2 ** 20, 2 ** 20, (2, n)).astype(float)
+    rows.both = np.full((2, n), float(2 ** 18)) + B.ROW_SHARE  # the largest curvature there is
+    few, many = RNG.integers(-1, 3, n), RNG.integers(-1, 300, n)
+    for slot in (None, few, many):
+        slots = 1 if slot is None else int(slot.max()) + 1
+        at, chosen = np.zeros(n, int) if slot is None else slot, slice(None) if slot is None else slot >= 0
+        out = np.zeros((3, slots, 5 * 16))
+        rows.add(out, 1, slot)
+        for f in range(5):
+            key = at[chosen] * 16 + bins[chosen, f]
+            for part, weight in zip(out, (np.ones(n), rows.gradient[1], np.full(n, 2.0 ** 18))):
+                want = np.bincount(key, weight[chosen], slots * 16).reshape(slots, 16)
+                assert (part.reshape(slots, 5, 16)[:, f] == want).all()
