@@ -302,3 +302,25 @@ def test_each_distinct_piece_is_looked_up_once():
     assert coder.batch(texts) == Encoder(read_tokenizer(tokenizer_file()))._encode([t or "" for t in texts])
     assert coder._known.looked < 50  # once per word of each text before
     assert long not in coder._known and "cat" in coder._known
+
+
+def test_worker_remembers_pieces_in_bounded_memory():
+    """Texts of ever new words: what the encoder keeps of them stays small beside an executor's memory."""
+    coder, largest = tokens.Encoder(tokens.read_tokenizer(BPE)), 0
+    coder._encode = lambda texts: [b"ids " * 2] * len(texts)
+    for k in range(25):
+        coder.batch([" ".join(f"{n}x{n}" for n in range(40_000 * k + a, 40_000 * k + a + 8_000)) for a in range(0, 40_000, 8_000)])
+        held = [coder._known, coder._older]
+        largest = max(largest, sum(sys.getsizeof(d) + sum(map(sys.getsizeof, d)) + sum(map(sys.getsizeof, d.values())) for d in held))
+    assert 10_000_000 < largest < 90_000_000
+
+
+def test_pieces_of_letters_and_punctuation_are_put_together():
+    """Heads and tails that are met alone, with each other, again, and beyond the remembered length."""
+    coder = tokens.Encoder(tokens.read_tokenizer(BPE))
+    long = "Wort" * 40
+    texts = ["x wort, wort wort. wort!? été, été ((x)) ..., 3a, a3. " + long + " " + long + ", 日本, 日本", "x wort. " + long + ", été! wort,"]
+    for _ in range(2):
+        assert coder.batch(texts) == [ids[:-1].tobytes() for ids in plain_ids(texts)]
+        coder._older, coder._known = coder._known, {}
+    assert long not in coder._older and long + "," not in coder._older
