@@ -141,6 +141,22 @@ def test_silhouette_of_all_rows_by_references(spark):
     assert got["rows"] == 5000 and got["silhouette"] == pytest.approx(brute_silhouette(x, labels), abs=0.01)
 
 
+def test_silhouette_compares_all_rows(spark):
+    """Clusters of any size, parts of any size, copies of rows, an offset and a row that is alone."""
+    x = np.concatenate([RNG.normal(c, 1.0, size=(n, 3)) for c, n in ((0, 2600), (2, 900), (4, 100))]) + 50
+    x[:300] = x[0]
+    labels = np.repeat([0, 1, 2], [2600, 900, 100])
+    labels[-1] = 7
+    rows = [(f"{i % 3000:05d}", [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, labels))]  # ids that repeat
+    df = spark.createDataFrame(rows, "record_id string, x array<double>, cluster int").repartition(4)
+    got, want = C.silhouette(df).first(), brute_silhouette(x, labels)
+    assert got["rows"] == 3600 and got["silhouette"] == pytest.approx(want, abs=1e-10)
+    points = C.silhouette_of_all(df, numbers=2000)
+    assert points.agg((F.sum(F.col("silhouette") * F.col("n")) / F.sum("n"))).first()[0] == pytest.approx(want, abs=1e-10)
+    assert C.silhouette(df.where("cluster = 0")).first()["silhouette"] == 0  # nothing to compare with
+    assert C.silhouette(df.where("cluster = 9")).first()["rows"] == 0
+
+
 def brute_lof(x, k):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
