@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from rotorlens.operators import metrics as MT
 from rotorlens.operators import scaling as SC
 from rotorlens.plans import models as M
 from rotorlens.schema import MODEL_INPUTS
+from rotorlens.session import shared_dir
 
 RNG = np.random.default_rng(7)
 
@@ -45,6 +47,30 @@ def test_neighbours_of_many_cells_with_far_points(spark):
     assert len(near) == 420
 
 
+def stored_bytes(spark):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(shared_dir(spark)) for f in files)
+
+
+@pytest.mark.parametrize("numbers", [2500])
+def test_neighbours_in_many_parts_store_little(spark, numbers):
+    """Parts of some cells, and a cell that takes several parts; no copy of a point for each cell it looks into."""
+    x = np.concatenate([RNG.normal(size=(900, 10)), RNG.normal(size=(300, 10)) * 0.01, np.full((1, 10), 40.0)]).round(3)
+    frame = spark.createDataFrame([(f"{i:05d}", [float(v) for v in r], 1) for i, r in enumerate(x)], "vid string, x array<double>, weight long")
+    before = stored_bytes(spark)
+    near = LOF.exact_neighbours(frame, 5, cell_rows=20, block_rows=100, numbers=numbers).collect()
+    assert stored_bytes(spark) - before < 4 * x.nbytes
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    order = np.argsort(d, axis=1, kind="stable")[:, :5]
+    for r in near:
+        own = int(r["vid"])
+        assert np.allclose([n["dist"] for n in r["neighbours"]], np.sort(d[own])[:5])
+        assert own not in [int(n["vid"]) for n in r["neighbours"]]
+    assert len(near) == 1201 and sum(len(r["neighbours"]) for r in near) == 5 * 1201
+    picked = {int(r["vid"]): [int(n["vid"]) for n in r["neighbours"]] for r in near}
+    assert np.mean([picked[i] == order[i].tolist() for i in range(900)]) > 0.99  # ties may be rounded apart
+
+
 def test_scalers(spark):
     pdf = pd.DataFrame({"a": RNG.normal(3, 2, 500), "b": 4.0})
     df = spark.createDataFrame(pdf)
