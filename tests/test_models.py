@@ -510,6 +510,27 @@ def test_kmeans_start_in_a_task_equals_jobs_per_iteration(spark):
     assert len(found) <= 3
 
 
+def test_levels_add_up_smaller_children_and_keep_one_table(spark, monkeypatch):
+    """Blocks of rows of several sizes; a level's job adds up one child of a split; old raw scores are deleted."""
+    x = RNG.normal(size=(500, 4))
+    rows = [([float(v) for v in r], int(r[0] > 0) + int(r[1] * r[2] > 0), i % 3) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "x array<double>, label int, fold int").repartition(3)
+    asked, added_up = [], B._added_up
+    monkeypatch.setattr(B, "_added_up", lambda state, shape, grown, level, small: asked.append((level, small.sum(), small.size)) or added_up(state, shape, grown, level, small))
+    monkeypatch.setattr(B, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(B, "GATHERED", 100)
+    tables = lambda: {d for d in os.listdir(f"{shared_dir(spark)}/rotorlens") if d.startswith("boosting")}
+    before = tables()
+    jobs, judged = B.boost(df, [0, 1, 2], "label", "x", 4, 7, 0.1, 3, "fold", 3, task_rows=0)
+    assert len(tables() - before) == 1
+    assert asked and all(chosen <= every // (2 if level else 1) for level, chosen, every in asked)
+    tasks, same = B.boost(df, [0, 1, 2], "label", "x", 4, 7, 0.1, 3, "fold", 3, task_rows=1000)
+    for a, b in zip(jobs, tasks):
+        assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and np.allclose(a.value, b.value, rtol=1e-12)
+    count = lambda d: sorted(map(tuple, d.groupBy("fold", "label", "prediction").count().collect()))
+    assert count(judged) == count(same)
+
+
 def test_pairs_of_features_give_the_sums_of_single_ones():
     """Sums by feature and bin of all rows, and of rows in many slots; an odd number of features."""
     n, shape = 70_000, B._Shape(1, 2, 5, 16, 3)
